@@ -1,0 +1,16 @@
+"""Join helpers with an explicit size check before any broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only when it has at most this many rows (counted first).
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Return ``broadcast(df)`` when a count proves ``df`` is small, else ``df``
+    unchanged so the planner uses a shuffle join (with AQE skew splitting)."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
