@@ -154,15 +154,18 @@ def word_tokens(c) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(_col(c), F.lit(""))), F.lit(WORD_TOKEN_PATTERN), 0)
 
 
+def _grams_of(w: Column, n: int) -> Column:
+    def gram(i):
+        return F.array_join(F.slice(w, i + 1, n), " ")
+    grams = F.transform(F.sequence(F.lit(0), F.size(w) - n), gram)
+    return F.when(F.size(w) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+
 def ngrams(tokens, lo: int, hi: int) -> Column:
-    """All n-grams for n in [lo, hi], words joined by one space, in n then position order."""
+    """All n-grams for n in [lo, hi], words joined by one space, in n then position order.
+
+    Pass a *column reference* (tokens already projected): the lambda reads the
+    array once per n-gram."""
     w = _col(tokens)
-    parts = []
-    for n in range(lo, hi + 1):
-        if n == 1:
-            parts.append(w)
-            continue
-        grams = F.transform(F.sequence(F.lit(0), F.size(w) - n),
-                            lambda i, n=n: F.array_join(F.slice(w, i + 1, n), " "))
-        parts.append(F.when(F.size(w) >= n, grams).otherwise(F.array().cast("array<string>")))
+    parts = [w if n == 1 else _grams_of(w, n) for n in range(lo, hi + 1)]
     return parts[0] if len(parts) == 1 else F.concat(*parts)
