@@ -155,17 +155,18 @@ def word_tokens(c) -> Column:
 
 
 def _grams_of(w: Column, n: int) -> Column:
-    def gram(i):
-        return F.array_join(F.slice(w, i + 1, n), " ")
-    grams = F.transform(F.sequence(F.lit(0), F.size(w) - n), gram)
-    return F.when(F.size(w) >= n, grams).otherwise(F.array().cast("array<string>"))
+    """n-grams as the element-wise join of n shifted slices of ``w``: the token
+    array is read n + 1 times per row, never once per n-gram."""
+    m = F.size(w) - (n - 1)
+    zipped = F.arrays_zip(*[F.slice(w, k + 1, F.greatest(m, F.lit(0))).alias(f"t{k}") for k in range(n)])
+    grams = F.transform(zipped, lambda x: F.concat_ws(" ", *[x[f"t{k}"] for k in range(n)]))
+    return F.when(m > 0, grams).otherwise(F.array().cast("array<string>"))
 
 
 def ngrams(tokens, lo: int, hi: int) -> Column:
     """All n-grams for n in [lo, hi], words joined by one space, in n then position order.
 
-    Pass a *column reference* (tokens already projected): the lambda reads the
-    array once per n-gram."""
+    Works on any token expression; see ``_grams_of``."""
     w = _col(tokens)
     parts = [w if n == 1 else _grams_of(w, n) for n in range(lo, hi + 1)]
     return parts[0] if len(parts) == 1 else F.concat(*parts)

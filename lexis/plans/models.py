@@ -1 +1,109 @@
-"""placeholder"""
+"""Registered model queries (section F).  Model outputs cannot be recomputed in
+SQL, so these carry no oracle; tests check their properties instead."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lexis.operators import evaluate as ev
+from lexis.operators import jobs
+from lexis.operators import models as md
+from lexis.operators import split as sp
+from lexis.operators.tfidf import TfidfConfig
+from lexis.plans.registry import register
+from lexis.sources.corpus import corpus
+
+CFG = TfidfConfig()                                            # default vectorizer block
+LR_PARAMS = {"C": 1.110118}                                    # tuned logistic block
+SVM_PARAMS = {"C": 1.100814, "gamma": 0.385474, "n_components": 256}
+GBT_PARAMS = {"n_estimators": 20, "max_depth": 4, "learning_rate": 0.1, "random_state": 42}
+
+
+def docs(spark, sf):
+    return corpus(spark, sf).select("text_id", "label", F.col("title_text").alias("text"))
+
+
+def holdout(spark, sf):
+    labelled = docs(spark, sf).where("label IS NOT NULL")
+    s = sp.stratified_split(labelled)
+    return s.where("split = 'train'").drop("split"), s.where("split = 'test'").drop("split")
+
+
+def _scale_pos_weight(train) -> float:
+    r = train.agg(F.count_if(F.col("label") == 0).alias("n"), F.count_if(F.col("label") == 1).alias("p")).first()
+    return r["n"] / r["p"] if r["p"] else 1.0
+
+
+@register("fit_logreg")
+def fit_logreg(spark, sf):
+    """L2 logistic regression (C = 1.110118) on the training part; test predictions."""
+    train, test = holdout(spark, sf)
+    m = md.fit(train, "logreg", LR_PARAMS, CFG)
+    return md.predict(m, test, ["text_id", "label"])
+
+
+@register("fit_gbt")
+def fit_gbt(spark, sf):
+    """gradient-boosted trees with class weight n_neg/n_pos; test predictions."""
+    train, test = holdout(spark, sf)
+    m = md.fit(train, "gbt", {**GBT_PARAMS, "scale_pos_weight": _scale_pos_weight(train)}, CFG)
+    return md.predict(m, test, ["text_id", "label"])
+
+
+@register("fit_gbt_early_stop")
+def fit_gbt_early_stop(spark, sf):
+    """trees chosen on the inner 10 % validation part (patience 5, cap 30), then test AUC."""
+    train, test = holdout(spark, sf)
+    inner = sp.inner_validation(train)
+    fit_part, val = inner.where("NOT is_validation"), inner.where("is_validation")
+    m, n_trees, loss = md.gbt_early_stopping(fit_part, val, {**GBT_PARAMS, "n_estimators": 30}, CFG, rounds=5)
+    auc = ev.roc_auc(md.predict(m, test, ["label"])).first()["auc"]
+    return spark.createDataFrame([(n_trees, round(loss, 6), auc)], "trees_grown int, val_logloss double, test_auc double")
+
+
+@register("fit_rff_svm")
+def fit_rff_svm(spark, sf):
+    """RBF-SVM approximation (random Fourier features + linear SVM + Platt); test predictions."""
+    train, test = holdout(spark, sf)
+    m = md.fit(train, "rff_svc", SVM_PARAMS, CFG)
+    return md.predict(m, test, ["text_id", "label"])
+
+
+@register("pipeline_fit_score")
+def pipeline_fit_score(spark, sf):
+    """General-stopword cleaning + sublinear 1-2 gram tf-idf + logistic, one pipeline; test scores."""
+    train, test = holdout(spark, sf)
+    cfg = TfidfConfig(ngram_range=(1, 2), min_df=2, max_df=0.95, sublinear_tf=True, max_features=5000)
+    m = md.fit(train, "logreg", LR_PARAMS, cfg, variant="stopwords_general")
+    return md.predict(m, test, ["text_id", "label"])
+
+
+@register("predict_blind")
+def predict_blind(spark, sf):
+    """fit on every labelled document, score the unlabelled ones."""
+    all_docs = docs(spark, sf)
+    m = md.fit(all_docs.where("label IS NOT NULL"), "logreg", LR_PARAMS, CFG)
+    return jobs.blind_predictions(m, all_docs.where("label IS NULL"))
+
+
+@register("cv_auc")
+def cv_auc(spark, sf):
+    """5-fold CV of the logistic pipeline on the training part (train and test AUC per fold)."""
+    train, _ = holdout(spark, sf)
+    return jobs.cross_validate(train, "logreg", LR_PARAMS, CFG)
+
+
+@register("train_job")
+def train_job(spark, sf):
+    """holdout + CV + final fit; merged metric rows."""
+    labelled = docs(spark, sf).where("label IS NOT NULL")
+    _, metrics = jobs.train_job(labelled, "logreg", LR_PARAMS, CFG)
+    return metrics
+
+
+@register("evaluate_job")
+def evaluate_job(spark, sf):
+    """Fitted pipeline scored on the test part: metric row as (metric, value)."""
+    train, test = holdout(spark, sf)
+    m = md.fit(train, "logreg", LR_PARAMS, CFG)
+    return ev.metrics_long(jobs.evaluate_model(m, test)["metrics"])
