@@ -52,11 +52,11 @@ def fit_gbt(spark, sf):
 
 @register("fit_gbt_early_stop")
 def fit_gbt_early_stop(spark, sf):
-    """trees chosen on the inner 10 % validation part (patience 5, cap 30), then test AUC."""
+    """trees chosen on the inner 10 % validation part (patience 3, cap 20), then test AUC."""
     train, test = holdout(spark, sf)
     inner = sp.inner_validation(train)
     fit_part, val = inner.where("NOT is_validation"), inner.where("is_validation")
-    m, n_trees, loss = md.gbt_early_stopping(fit_part, val, {**GBT_PARAMS, "n_estimators": 30}, CFG, rounds=5)
+    m, n_trees, loss = md.gbt_early_stopping(fit_part, val, {**GBT_PARAMS, "n_estimators": 20}, CFG, rounds=3)
     auc = ev.roc_auc(md.predict(m, test, ["label"])).first()["auc"]
     return spark.createDataFrame([(n_trees, round(loss, 6), auc)], "trees_grown int, val_logloss double, test_auc double")
 
