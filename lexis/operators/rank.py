@@ -89,3 +89,15 @@ def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: int
               .where(F.col("_r1") <= k).drop("_r1", "_salt"))
     return (stage1.withColumn(rank_col, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
             .where(F.col(rank_col) <= k))
+
+
+def bucketed_running_max(df: DataFrame, part: list[str], order: list[Column], bucket: str,
+                         value: str, out: str) -> DataFrame:
+    """Exact running maximum of ``value`` in ``order`` within ``part`` (same bucket scheme)."""
+    w = Window.partitionBy(*part, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = df.withColumn("_lmax", F.max(value).over(w))
+    totals = df.groupBy(*part, bucket).agg(F.max(value).alias("_bmax"))
+    wb = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offs = totals.withColumn("_prev", F.max("_bmax").over(wb)).drop("_bmax")
+    return (local.join(F.broadcast(offs), [*part, bucket])
+            .withColumn(out, F.greatest(F.col("_lmax"), F.col("_prev"))).drop("_lmax", "_prev"))

@@ -1 +1,260 @@
-"""placeholder"""
+"""Registered search, trial-table and leaderboard queries (section I)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lexis.functions import text as tx
+from lexis.operators import clean as cl
+from lexis.operators import evaluate as ev
+from lexis.operators import jobs
+from lexis.operators import models as md
+from lexis.operators import search as se
+from lexis.operators.tfidf import TfidfConfig
+from lexis.plans import sql as S
+from lexis.plans.cleaning import _drop_words_sql
+from lexis.plans.evaluation import _auc_cte
+from lexis.plans.models import LR_PARAMS, docs, holdout
+from lexis.plans.registry import register
+from lexis.plans.splits import _SPLIT, _holdout
+from lexis.functions import stopwords as sw
+from lexis.session import shared_path
+from lexis.sources.corpus import labelled
+from lexis.sources.trials import trial_rows
+
+VARIANT_ORDER = ["base", "stopwords_general", "stopwords_curated", "stemming"]
+NGRAMS = [(1, 1), (1, 2), (1, 3)]
+
+# --------------------------------------------------------------------------- stand-in trial table (SQL side)
+TRIALS_CTE = """trials AS (
+  SELECT 'tfidf_' || d.lang AS study, d.doc_id AS trial_id,
+    CASE WHEN l.doc_id IS NULL THEN 'failed' ELSE 'complete' END AS state,
+    CASE WHEN l.doc_id IS NULL THEN 0.0::DOUBLE ELSE round((d.n_chars % 997) / 997.0, 6) END AS value,
+    CAST(d.n_chars % 5 + 1 AS DOUBLE) AS min_df, round(0.7 + (d.n_chars % 30) / 100.0, 2) AS max_df
+  FROM documents d LEFT JOIN labels l USING (doc_id))"""
+
+
+def _u_sql(name: str) -> str:
+    key = f"'42:' || study || ':' || CAST(trial_id AS VARCHAR) || ':{name}'"
+    return f"(CAST(CAST(('0x' || substr(md5({key}), 1, 13)) AS BIGINT) AS DOUBLE) / CAST({int(se.HEX13)} AS DOUBLE))"
+
+
+def _suggest_sql(name: str, spec) -> str:
+    u = _u_sql(name)
+    if spec[0] == "cat":
+        vals = ", ".join(("true" if c else "false") if isinstance(c, bool) else str(c) for c in spec[1])
+        return f"([{vals}])[CAST(floor({u} * {len(spec[1])}) AS BIGINT) + 1]"
+    lo, hi = spec[1], spec[2]
+    if spec[0] == "int":
+        return f"CAST({lo} + floor({u} * {hi - lo + 1}) AS INTEGER)"
+    return f"round(CAST({float(lo)!r} AS DOUBLE) + {u} * CAST({hi - lo!r} AS DOUBLE), 6)"
+
+
+_PLAN_SQL = "SELECT study, trial_id, " + ", ".join(
+    f"{_suggest_sql(n, s)} AS {n}" for n, s in se.VECTORIZER_SPACE.items()) + " FROM plan"
+
+
+def _studies(spark, sf):
+    return trial_rows(spark, sf).groupBy("study").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("trial_plan", f"""WITH {TRIALS_CTE},
+plan AS (SELECT study, unnest(range(0, n)) AS trial_id FROM (SELECT study, count(*) AS n FROM trials GROUP BY study))
+{_PLAN_SQL}""")
+def trial_plan(spark, sf):
+    """The seeded stage-1 vectorizer plan for as many trials as each study holds."""
+    return se.trial_plan(_studies(spark, sf), F.col("n"), se.VECTORIZER_SPACE)
+
+
+@register("trials_remaining", f"""WITH {TRIALS_CTE},
+plan AS (SELECT study, unnest(range(0, (SELECT count(*) FROM documents))) AS trial_id
+         FROM (SELECT DISTINCT study FROM trials))
+SELECT p.study, p.trial_id FROM plan p
+WHERE NOT EXISTS (SELECT 1 FROM trials t WHERE t.study = p.study AND t.trial_id = p.trial_id AND t.state = 'complete')""")
+def trials_remaining(spark, sf):
+    """I8: with a wanted total of one trial per document id, the trials each study still has to run."""
+    trials = trial_rows(spark, sf)
+    wanted = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").count()
+    plan = se.trial_plan(trials.select("study").distinct(), wanted, {})
+    return se.remaining(plan, trials)
+
+
+@register("best_trial", f"""WITH {TRIALS_CTE}
+SELECT study, count(*) AS n_trials, CAST(count_if(state = 'complete') AS BIGINT) AS n_completed,
+  first(trial_id ORDER BY value DESC, trial_id) FILTER (WHERE state = 'complete') AS best_trial_id,
+  max(value) FILTER (WHERE state = 'complete') AS best_value
+FROM trials GROUP BY study""")
+def best_trial(spark, sf):
+    """Best trial per study."""
+    return se.best_trial(trial_rows(spark, sf))
+
+
+@register("running_best", f"""WITH {TRIALS_CTE}
+SELECT study, trial_id, value, max(value) OVER (PARTITION BY study ORDER BY trial_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_best FROM trials""")
+def running_best(spark, sf):
+    """Running best value per study in trial order."""
+    return se.running_best(trial_rows(spark, sf))
+
+
+FIXED_VECTORIZER = {"ngram_idx": 0.0, "min_df": 1.0, "max_df": 0.7532, "sublinear_tf": 0.0, "max_features": 20000.0}
+
+
+@register("config_overlay", f"""WITH {TRIALS_CTE},
+best AS (SELECT study, first(min_df ORDER BY value DESC, trial_id) AS min_df,
+                first(max_df ORDER BY value DESC, trial_id) AS max_df
+         FROM trials WHERE state = 'complete' GROUP BY study)
+SELECT study, 'min_df' AS key, min_df AS value FROM best
+UNION ALL SELECT study, 'max_df', max_df FROM best
+UNION ALL SELECT study, k, v FROM best, (VALUES {", ".join(f"('{k}', {v!r}::DOUBLE)" for k, v in FIXED_VECTORIZER.items()
+                                                       if k not in ("min_df", "max_df"))}) f(k, v)""")
+def config_overlay(spark, sf):
+    """Each study's best parameters laid over the fixed vectorizer block, as (study, key, value)."""
+    best = se.best_params(trial_rows(spark, sf))
+    fixed = F.create_map(*[x for k, v in FIXED_VECTORIZER.items() for x in (F.lit(k), F.lit(v))])
+    return best.select("study", F.explode(se.overlay(fixed, F.col("params"))).alias("key", "value"))
+
+
+# --------------------------------------------------------------------------- consolidated results stand-in
+def variant_scores(spark, sf):
+    """Per native variant, the length score of the cleaned text on each holdout part."""
+    base = labelled(spark, sf).select("text_id", "label", "title_text").join(
+        _holdout(spark, sf).select("text_id", "split"), "text_id")
+    parts = []
+    for v in ["base", "stopwords_general", "stopwords_curated"]:
+        c = cl.clean_frame(base, "title_text", v)
+        parts.append(c.select(F.lit(v).alias("entry"), "split", "label",
+                              F.least(F.lit(1.0), tx.token_count("title_text") / 500.0).alias("probability")))
+    parts.append(base.select(F.lit("chars_optimization").alias("entry"), "split", "label",
+                             F.least(F.lit(1.0), tx.char_length("title_text") / 5000.0).alias("probability")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def variant_results(spark, sf):
+    """Consolidated results ``(entry, test_auc, cv_auc)``: AUC on the test and training parts."""
+    auc = ev.roc_auc(variant_scores(spark, sf), groups=["entry", "split"])
+    return auc.groupBy("entry").agg(
+        F.round(F.max(F.when(F.col("split") == "test", F.col("auc"))), 6).alias("test_auc"),
+        F.round(F.max(F.when(F.col("split") == "train", F.col("auc"))), 6).alias("cv_auc"))
+
+
+def _tok_sql(e: str) -> str:
+    return f"least(1.0, len(list_filter(string_split({e}, ' '), lambda t: t <> '')) / 500.0)"
+
+
+RESULTS_CTES = _SPLIT + f""",
+vbase AS (SELECT l.text_id, l.label, l.title_text, h.split FROM labelled l JOIN holdout h ON l.text_id = h.text_id),
+vscores AS (
+  SELECT 'base' AS entry, split, label, {_tok_sql(S.clean_text('title_text'))} AS probability FROM vbase
+  UNION ALL SELECT 'stopwords_general', split, label,
+    {_tok_sql(_drop_words_sql(S.clean_text('title_text'), sw.general_without_negations()))} FROM vbase
+  UNION ALL SELECT 'stopwords_curated', split, label,
+    {_tok_sql(_drop_words_sql(S.clean_text('title_text'), sw.curated()))} FROM vbase
+  UNION ALL SELECT 'chars_optimization', split, label, least(1.0, length(title_text) / 5000.0) FROM vbase),
+""" + _auc_cte("vscores", "vauc", "entry, split") + """,
+results AS (SELECT entry, round(max(CASE WHEN split = 'test' THEN auc END), 6) AS test_auc,
+                   round(max(CASE WHEN split = 'train' THEN auc END), 6) AS cv_auc FROM vauc GROUP BY entry)"""
+
+
+@register("winner_variant", S.with_corpus("""
+SELECT entry AS winner, 'cv_auc' AS by, cv_auc AS value FROM results WHERE NOT ends_with(entry, '_optimization')
+ORDER BY cv_auc DESC, entry DESC LIMIT 1""", RESULTS_CTES))
+def winner_variant(spark, sf):
+    """Winning cleaning variant by CV AUC, model entries ignored."""
+    return se.winner_variant(variant_results(spark, sf), "cv_auc")
+
+
+@register("variant_leaderboard", S.with_corpus(f"""
+SELECT r.entry, o.display_order, r.test_auc, r.cv_auc, rank() OVER (ORDER BY r.test_auc DESC) AS rank,
+       rank() OVER (ORDER BY r.test_auc DESC) = 1 AS is_winner,
+       round(max(r.test_auc) OVER () - min(r.test_auc) OVER (), 6) AS auc_range
+FROM results r JOIN (VALUES {", ".join(f"('{v}', {i})" for i, v in enumerate(VARIANT_ORDER))}) o(entry, display_order)
+  ON r.entry = o.entry""", RESULTS_CTES))
+def variant_leaderboard(spark, sf):
+    """Variants in display order, rank, winner, AUC range."""
+    return se.variant_leaderboard(variant_results(spark, sf), VARIANT_ORDER)
+
+
+@register("model_leaderboard", S.with_corpus("""
+SELECT regexp_replace(entry, '_optimization$', '') AS model, 'model' AS kind, test_auc, cv_auc,
+       rank() OVER (ORDER BY test_auc DESC) AS rank
+FROM results WHERE ends_with(entry, '_optimization')""", RESULTS_CTES))
+def model_leaderboard(spark, sf):
+    """Model entries by test AUC (stage-1 winner when none)."""
+    return se.model_leaderboard(variant_results(spark, sf))
+
+
+@register("stage_delta", S.with_corpus("""
+SELECT b.metric, b.value AS before, a.value AS after, round(a.value - b.value, 6) AS delta
+FROM (SELECT 'test_auc' AS metric, test_auc AS value FROM results WHERE entry = 'base'
+      UNION ALL SELECT 'cv_auc', cv_auc FROM results WHERE entry = 'base') b
+FULL OUTER JOIN (SELECT 'test_auc' AS metric, test_auc AS value FROM results WHERE entry = 'stopwords_curated'
+      UNION ALL SELECT 'cv_auc', cv_auc FROM results WHERE entry = 'stopwords_curated') a ON a.metric = b.metric""",
+    RESULTS_CTES))
+def stage_delta(spark, sf):
+    """I16: metric deltas from the base variant to the curated-stopword variant."""
+    r = variant_results(spark, sf)
+
+    def metrics(entry):
+        one = r.where(F.col("entry") == entry)
+        return one.select(F.expr("stack(2, 'test_auc', test_auc, 'cv_auc', cv_auc) AS (metric, value)"))
+    return se.stage_delta(metrics("base"), metrics("stopwords_curated"))
+
+
+# --------------------------------------------------------------------------- real searches (rows-only)
+def _cv_objective(train, model, model_params, cfg_fn, n_splits=3):
+    def objective(params):
+        cfg = cfg_fn(params)
+        cv = jobs.cross_validate(train, model, model_params(params), cfg, n_splits=n_splits)
+        return cv.agg(F.avg("test_auc")).first()[0]
+    return objective
+
+
+def _vectorizer_cfg(p):
+    return TfidfConfig(ngram_range=NGRAMS[int(p["ngram_idx"])], min_df=int(p["min_df"]), max_df=float(p["max_df"]),
+                       sublinear_tf=bool(p["sublinear_tf"]), max_features=int(p["max_features"]))
+
+
+@register("search_vectorizer")
+def search_vectorizer(spark, sf, n_trials: int = 2):
+    """Stage-1 search, first planned trials, objective = 3-fold CV AUC of the logistic pipeline."""
+    train, _ = holdout(spark, sf)
+    studies = spark.createDataFrame([("tfidf_base",)], "study string")
+    pending = se.trial_plan(studies, n_trials, se.VECTORIZER_SPACE)
+    obj = _cv_objective(train, "logreg", lambda p: LR_PARAMS, _vectorizer_cfg)
+    return se.run_search(spark, pending, obj, shared_path(spark, "trials"), n_trials=n_trials)
+
+
+@register("search_model")
+def search_model(spark, sf, n_trials: int = 2):
+    """Logistic-regression search (C, max_iter) on fixed default vectors."""
+    train, _ = holdout(spark, sf)
+    studies = spark.createDataFrame([("logreg_base",)], "study string")
+    pending = se.trial_plan(studies, n_trials, se.LR_SPACE)
+    obj = _cv_objective(train, "logreg", lambda p: {"C": p["C"], "max_iter": int(p["max_iter"])},
+                        lambda p: TfidfConfig())
+    return se.run_search(spark, pending, obj, shared_path(spark, "trials"), n_trials=n_trials)
+
+
+@register("stage1_job")
+def stage1_job(spark, sf):
+    """Search (1 trial) -> best parameters overlaid -> train job -> results row upserted."""
+    trials = search_vectorizer(spark, sf, n_trials=1)
+    best = se.best_params(trials).first()["params"]
+    cfg = _vectorizer_cfg({**FIXED_VECTORIZER, **best})
+    lab = docs(spark, sf).where("label IS NOT NULL")
+    _, metrics = jobs.train_job(lab, "logreg", LR_PARAMS, cfg, n_splits=3)
+    return metrics
+
+
+@register("stage2_job")
+def stage2_job(spark, sf):
+    """Model search (1 trial) on the winning vectorizer -> fit -> test metrics."""
+    trials = search_model(spark, sf, n_trials=1)
+    best = se.best_params(trials).first()["params"]
+    train, test = holdout(spark, sf)
+    m = md.fit(train, "logreg", {"C": best["C"], "max_iter": int(best["max_iter"])}, TfidfConfig())
+    return ev.metrics_long(jobs.evaluate_model(m, test)["metrics"])
