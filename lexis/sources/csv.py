@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from lexis.sources.corpus import ingest_frame
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
+CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def write_csv(df: DataFrame, path: str) -> str:
