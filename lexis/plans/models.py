@@ -107,3 +107,19 @@ def evaluate_job(spark, sf):
     train, test = holdout(spark, sf)
     m = md.fit(train, "logreg", LR_PARAMS, CFG)
     return ev.metrics_long(jobs.evaluate_model(m, test)["metrics"])
+
+
+@register("predict_stream")
+def predict_stream(spark, sf):
+    """F9 as Structured Streaming: unlabelled documents land as Parquet files and are
+    scored by the fitted pipeline in micro-batches (availableNow), then read back."""
+    from lexis.session import shared_path
+    from lexis.streaming.scoring import read_scores, score_stream
+    all_docs = docs(spark, sf)
+    m = md.fit(all_docs.where("label IS NOT NULL"), "logreg", LR_PARAMS, CFG)
+    unlabelled = all_docs.where("label IS NULL").select("text_id", "text")
+    inbox = shared_path(spark, "inbox")
+    unlabelled.write.mode("overwrite").parquet(inbox)
+    out, ckpt = shared_path(spark, "scored"), shared_path(spark, "scored-ckpt")
+    score_stream(spark, m, inbox, unlabelled.schema, out, ckpt)
+    return read_scores(spark, out)
