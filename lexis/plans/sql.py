@@ -33,11 +33,11 @@ def normalize_quotes(e: str) -> str:
 
 def fix_encoding(e: str) -> str:
     e = _re(e, tx.CONTROL_CHARS_PATTERN, "")
-    e = _replace_all(e, tx.MOJIBAKE_REPAIRS)
-    e = f"(CASE WHEN instr({e}, '<') > 0 THEN {e} ELSE {_replace_all(e, tx.HTML_ENTITIES)} END)"
-    e = f"translate({e}, {lit(tx.FULLWIDTH_FROM)}, {lit(tx.FULLWIDTH_TO)})"
-    e = _replace_all(e, tx.LIGATURES)
-    return normalize_quotes(e)
+    rep = _replace_all(e, tx.MOJIBAKE_REPAIRS)
+    rep = f"(CASE WHEN instr({rep}, '<') > 0 THEN {rep} ELSE {_replace_all(rep, tx.HTML_ENTITIES)} END)"
+    rep = _replace_all(rep, tx.LIGATURES)
+    e = f"(CASE WHEN regexp_matches({e}, {lit(tx.REPAIR_TRIGGER)}) THEN {rep} ELSE {e} END)"
+    return f"translate({e}, {lit(tx.SINGLE_FROM)}, {lit(tx.SINGLE_TO)})"
 
 
 def remove_urls(e: str) -> str:
