@@ -270,6 +270,27 @@ def build_classifier(name: str, params: dict | None, n_train: float, weighted: b
     raise ValueError(f"Unknown model: {name!r}; choose from {ESTIMATORS}")
 
 
+def prepare_terms(df: DataFrame, cfg: TfidfConfig = TfidfConfig(), variant: str = "base",
+                  text_col: str = "text") -> DataFrame:
+    """Cleaning + term extraction (row-local, no fitted state): done once and
+    shared by every fold / trial that uses the same variant and n-gram range."""
+    lo, hi = cfg.ngram_range
+    cleaned = TextCleaner(inputCol=text_col, outputCol="clean", variant=variant).transform(df)
+    return TermExtractor(inputCol="clean", outputCol="terms", ngramLo=lo, ngramHi=hi).transform(cleaned).drop("clean")
+
+
+def fit_on_terms(prepared: DataFrame, model: str = "gbt", model_params: dict | None = None,
+                 cfg: TfidfConfig = TfidfConfig()) -> PipelineModel:
+    """Fit vectoriser + classifier on rows that already carry ``terms``."""
+    params = dict(model_params or {})
+    spw = params.pop("scale_pos_weight", None)
+    data = with_class_weight(prepared, spw) if spw is not None else prepared
+    n = data.agg(F.sum("weight")).first()[0] if spw is not None else data.count()
+    stages = [TfidfVectorizer(inputCol="terms", outputCol="features", config=cfg),
+              *build_classifier(model, params, float(n or 0.0), spw is not None)]
+    return Pipeline(stages=stages).fit(data)
+
+
 def build_pipeline(model: str = "gbt", model_params: dict | None = None, cfg: TfidfConfig = TfidfConfig(),
                    variant: str = "base", text_col: str = "text", n_train: float = 1.0,
                    weighted: bool = False) -> Pipeline:

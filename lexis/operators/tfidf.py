@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from lexis.functions import text as tx
 from lexis.operators.joins import broadcast_if_small
 from lexis.operators.rank import bucketed_row_number
+from lexis.session import materialize
 
 
 @dataclass(frozen=True)
@@ -117,8 +118,12 @@ def weights(tf: DataFrame, vocab: DataFrame, id_col: str, cfg: TfidfConfig) -> D
 
 
 def fit_transform(docs: DataFrame, id_col: str, text_col: str, cfg: TfidfConfig):
-    """Fit on ``docs`` and return ``(vocab, weights)``."""
-    tf = term_freq(docs, id_col, text_col, cfg)
+    """Fit on ``docs`` and return ``(vocab, weights)``.
+
+    The term counts feed the vocabulary checks, the vocabulary and the weights,
+    so they are written once as a table in the shared folder instead of
+    re-cleaning and re-tokenising the corpus for every use."""
+    tf = materialize(term_freq(docs, id_col, text_col, cfg), "term-freq")
     n_docs = docs.count()
     vocab = fit_vocabulary(tf, n_docs, cfg)
     return vocab, weights(tf, vocab, id_col, cfg)

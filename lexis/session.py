@@ -54,3 +54,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/lexis/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` once as a Parquet table in the shared
+    folder and reading it back (one computation, unlike an eager checkpoint of
+    an uncached DataFrame, and recoverable after executor loss)."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

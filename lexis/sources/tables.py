@@ -38,9 +38,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Text cleaning is CPU-heavy per row: when a scan yields fewer splits than
+    the cluster has cores (a small file with one row group), hash-partition the
+    rows by ``key`` so every core works.  A large input already has many splits
+    and passes through unchanged."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    return df.repartition(2 * par, key)
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in post rows ``user_id, text_id, title, text, label_raw``."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     suffix = F.element_at(F.array(*[F.lit(s) for s in DIRT]), (F.col("doc_id") % len(DIRT) + 1).cast("int"))
     text = (F.when(F.col("doc_id") % TEXT_MOD == REMOVED_RESIDUE, F.lit("[removed]"))
