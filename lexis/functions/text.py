@@ -33,7 +33,7 @@ EMOTICON_PATTERN = r"[:;=]['\-]?[)(D/\\|PpOo]"
 SPECIAL_PATTERN = rf"[^a-zA-Z0-9{WS}']"
 SPACES_PATTERN = rf"[{WS}]+"
 MOJIBAKE_PATTERN = r"[â€™œžŸšŠ¢�ÃÂ]|[\x{80}-\x{9F}]"
-# C18 notebook tokeniser and C19 vectoriser tokeniser (>= 2 word characters).
+# C18 profiling tokeniser and C19 vectoriser tokeniser (>= 2 word characters).
 ALPHA_TOKEN_PATTERN = r"[a-z]+"
 WORD_TOKEN_PATTERN = r"\b\w\w+\b"
 
