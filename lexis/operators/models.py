@@ -32,6 +32,7 @@ from lexis.functions import text as tx
 from lexis.operators import clean as cl
 from lexis.operators import tfidf as tfm
 from lexis.operators.tfidf import TfidfConfig
+from lexis.session import materialize
 
 MAX_DRIVER_VOCAB = 1_000_000
 
@@ -311,14 +312,18 @@ def with_class_weight(df: DataFrame, spw: float, label: str = "label") -> DataFr
 
 def fit(train: DataFrame, model: str = "gbt", model_params: dict | None = None, cfg: TfidfConfig = TfidfConfig(),
         variant: str = "base", text_col: str = "text") -> PipelineModel:
-    """Fit the pipeline; ``scale_pos_weight`` becomes a weight column, logistic/SVM
-    regularisation uses n = sum of weights."""
-    params = dict(model_params or {})
-    spw = params.pop("scale_pos_weight", None)
-    data = with_class_weight(train, spw) if spw is not None else train
-    n = data.agg(F.sum("weight")).first()[0] if spw is not None else data.count()
-    pipe = build_pipeline(model, params, cfg, variant, text_col, float(n or 0.0), spw is not None)
-    return pipe.fit(data)
+    """Fit the F7 pipeline and return it whole (cleaner -> terms -> tf-idf ->
+    classifier).  The row-local cleaning and term extraction run once: their
+    output is written to the shared folder and both the vectoriser fit and the
+    classifier's iterations read it.  ``scale_pos_weight`` becomes a weight
+    column; logistic/SVM regularisation uses n = sum of weights."""
+    lo, hi = cfg.ngram_range
+    cleaner = TextCleaner(inputCol=text_col, outputCol="clean", variant=variant)
+    terms = TermExtractor(inputCol="clean", outputCol="terms", ngramLo=lo, ngramHi=hi)
+    keep = [c for c in train.columns if c != text_col]
+    prepared = materialize(terms.transform(cleaner.transform(train)).select(*keep, "terms"), "fit-terms")
+    fitted = fit_on_terms(prepared, model, model_params, cfg)
+    return PipelineModel([cleaner, terms, *fitted.stages])
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:

@@ -49,3 +49,16 @@ def test_empty_vocabulary_raises(spark):
     with pytest.raises(ValueError):
         md.TfidfVectorizer(config=TfidfConfig(min_df=5)).fit(
             md.TermExtractor(inputCol="text", outputCol="terms").transform(df))
+
+
+def test_model_roundtrip_identical_scores(spark, sf):
+    from lexis.plans import models as pm
+    rows = pm.model_roundtrip(spark, sf).collect()
+    assert rows and all(r.same for r in rows)
+
+
+def test_cross_validation_shape(spark, sf, train):
+    from lexis.operators import jobs
+    cv = jobs.cross_validate(train, "logreg", {"C": 1.0}, TfidfConfig(max_features=500), n_splits=3).collect()
+    assert [r.fold for r in cv] == [0, 1, 2]
+    assert all(0.0 <= r.test_auc <= 1.0 and 0.0 <= r.train_auc <= 1.0 for r in cv)
