@@ -52,8 +52,8 @@ def test_empty_vocabulary_raises(spark):
 
 
 def test_model_roundtrip_identical_scores(spark, sf):
-    from lexis.plans import models as pm
-    rows = pm.model_roundtrip(spark, sf).collect()
+    from lexis.plans import io
+    rows = io.model_roundtrip(spark, sf).collect()
     assert rows and all(r.same for r in rows)
 
 
