@@ -44,7 +44,7 @@ def cross_validate(train: DataFrame, model: str, params: dict | None, cfg: Tfidf
 
 def evaluate_model(m: PipelineModel, labelled: DataFrame, id_col: str = "text_id") -> dict[str, DataFrame]:
     """Metric row, ROC curve and confusion matrix of one scoring pass."""
-    scored = md.predict(m, labelled, [id_col, "label"]).cache()
+    scored = materialize(md.predict(m, labelled, [id_col, "label"]), "scored")  # read by three reports
     return {"metrics": ev.binary_metrics(scored), "roc": ev.roc_curve(scored),
             "confusion": ev.confusion_matrix(scored), "scored": scored}
 
@@ -53,7 +53,7 @@ def train_job(labelled: DataFrame, model: str, params: dict | None, cfg: TfidfCo
               test_size: float = 0.2, n_splits: int = 5, seed: int = 42,
               text_col: str = "text") -> tuple[PipelineModel, DataFrame]:
     """holdout -> CV on the training part -> final fit -> merged metric rows."""
-    split = sp.stratified_split(labelled, test_size=test_size, seed=seed).cache()
+    split = materialize(sp.stratified_split(labelled, test_size=test_size, seed=seed), "holdout")
     train, test = split.where("split = 'train'"), split.where("split = 'test'")
     cv = cross_validate(train, model, params, cfg, variant, n_splits, seed, text_col)
     final = md.fit(train, model, params, cfg, variant, text_col)
