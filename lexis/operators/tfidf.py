@@ -24,7 +24,6 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array  # noqa: F401  (re-exported for callers)
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
