@@ -72,7 +72,7 @@ def roc_curve(scored: DataFrame, label: str = "label", score: str = "probability
     c = _with_below(score_counts(scored, label, score, []), score, [], n_buckets)
     totals = scored.agg(F.count_if(F.col(label) == 1).alias("P"), F.count_if(F.col(label) == 0).alias("N")).first()
     P, N = totals["P"], totals["N"]
-    pts = c.select(F.col(score).cast("double").alias("threshold"),
+    pts = c.select(F.round(F.col(score).cast("double"), 6).alias("threshold"),
                    F.round(_ratio(F.lit(N) - F.col("below_neg"), F.lit(N)), 6).alias("fpr"),
                    F.round(_ratio(F.lit(P) - F.col("below_pos"), F.lit(P)), 6).alias("tpr"))
     origin = scored.sparkSession.createDataFrame([(None, 0.0, 0.0)], "threshold double, fpr double, tpr double")

@@ -84,7 +84,7 @@ def roc_auc(spark, sf):
 @register("roc_curve", S.with_corpus("""
 SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
 UNION ALL
-SELECT CAST(probability AS DOUBLE) AS threshold,
+SELECT round(CAST(probability AS DOUBLE), 6) AS threshold,
   round(CASE WHEN t.n > 0 THEN (t.n - below_neg) / t.n ELSE 0 END, 6) AS fpr,
   round(CASE WHEN t.p > 0 THEN (t.p - below_pos) / t.p ELSE 0 END, 6) AS tpr
 FROM auc_all_c, (SELECT count_if(label = 1) AS p, count_if(label = 0) AS n FROM scored) t""",
