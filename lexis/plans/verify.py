@@ -1,7 +1,8 @@
 """Compare registered Spark queries with their DuckDB oracle statements.
 
 ``python -m lexis.plans.verify --sf /root/testdata/sf0.01 [keys...]`` prints
-one line per query: rows, schema and order-insensitive value agreement.
+one line per query: rows, schema and order-insensitive value agreement
+(floats to 6 dp; ``LEXIS_EXACT=1`` compares exact binary values).
 Queries without an oracle get a rows-only run.
 """
 
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 import math
+import os
 import sys
 import time
 
@@ -35,6 +37,8 @@ def _canon(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
+        if os.environ.get("LEXIS_EXACT"):  # compare the exact binary value
+            return repr(v)
         return f"{round(v, 6):.6f}"
     if isinstance(v, (list, tuple)):
         return "[" + ",".join(_canon(x) for x in v) + "]"
