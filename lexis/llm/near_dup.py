@@ -261,7 +261,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, chunks
     named = docs.filter("doc_id is not null").select(F.col("doc_id").alias("node"), "text")
     wanted = clusters.filter("node >= 0")
     loose = clusters.filter("node < 0")
-    texts = named.join(wanted, "node")
+    texts = named.join(wanted.hint("merge"), "node")
     if docs.filter("doc_id is null or doc_id < 0").limit(1).count():
         # rows whose name is not their doc_id: name them again from their text
         again = docs.filter("doc_id is null or doc_id < 0").mapInArrow(
