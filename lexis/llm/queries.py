@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexis.llm.near_dup import near_duplicates
 from lexis.llm.registry import ORACLE, QUERIES, register, table  # noqa: F401
+from lexis.llm.substring_dedup import dedup_substrings
 
 
 @register("op8_minhash_near_dedup")
@@ -13,3 +15,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, similarity
     at least 0.85."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+@register("op9_substring_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 35-word windows removed from all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_substrings(docs, window=35).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
