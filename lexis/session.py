@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -36,8 +38,24 @@ def build_session(master: str = "local[8]", app: str = "lexis",
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per context, so
+    that functions of its modules can be unpickled wherever they run."""
+    sc = spark.sparkContext
+    if getattr(sc, "_lexis_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="lexis-package-")) / "lexis.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._lexis_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only for local masters."""
+    ship_package(spark)
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
