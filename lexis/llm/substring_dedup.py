@@ -19,8 +19,9 @@ sequence that starts twice there is known to repeat: its cell goes out once and
 its places go straight to their documents as runs.  So a passage in a third of
 all documents sends one entry per buffer, not one per document.
 
-Each step's answer returns to its documents by a join on a row key (a hash of
-doc_id and text); both joins use the same exchange of the texts.
+Each step's answers are packed by the documents' homes (hash ranges of a row key
+made of doc_id and text), gathered there to one row per document, and joined to
+the texts by the key; both joins use the same exchange of the texts.
 
 Defined cases: null text has no words; identical rows (same doc_id and text)
 are separate documents, so all their windows repeat; rows may have a null
@@ -44,20 +45,22 @@ LOW = U64(0xFFFFFFFF)
 _ROW = "__row"
 _ASK = ("__shard int, rids binary, counts binary, first binary, second binary, places binary, "
         "heavy_first binary, heavy_second binary, known_rids binary, known_counts binary, known binary")
-_ANSWER = f"{_ROW} long, shard int, payload binary"
+_ANSWER = "__home int, runs int, rids binary, counts binary, items binary"
+_HINTS = f"{_ROW} long, __cells binary, __runs binary"
 
 
-def _to_runs(places: np.ndarray) -> np.ndarray:
-    """Sorted positions as (from, to) pairs of consecutive runs."""
+def _to_runs(owner: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of consecutive places of each owner (sorted by owner, place): the
+    owner of every run, and the run as ``from | to << 32``."""
     if not len(places):
-        return np.empty((0, 2), np.uint32)
-    cut = np.flatnonzero(np.diff(places) != 1)
-    return np.stack([places[np.append(0, cut + 1)], places[np.append(cut, len(places) - 1)] + 1], axis=1).astype(np.uint32)
+        return owner, np.empty(0, np.uint64)
+    cut = np.append(True, (np.diff(places.astype(np.int64)) != 1) | (owner[1:] != owner[:-1]))
+    last = np.append(cut[1:], True)
+    return owner[cut], places[cut].astype(np.uint64) | ((places[last].astype(np.uint64) + U64(1)) << U64(32))
 
 
-def _from_runs(raw: bytes) -> np.ndarray:
-    pairs = np.frombuffer(raw, np.uint32).reshape(-1, 2).astype(np.int64)
-    return np.concatenate([np.arange(a, b) for a, b in pairs]) if len(pairs) else np.empty(0, np.int64)
+def _run_bounds(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint32).reshape(-1, 2).astype(np.int64)
 
 
 class _Buffer:
@@ -109,9 +112,8 @@ class _Buffer:
             if not (len(ask) or len(strong) or len(mine)):
                 continue
             owners, counts = np.unique(doc[ask], return_counts=True)
-            known_docs = np.unique(doc[mine])
-            cuts = np.searchsorted(doc[mine], known_docs)
-            runs = [_to_runs(p) for p in np.split(places[mine], cuts[1:])] if len(mine) else []
+            run_docs, runs = _to_runs(doc[mine], places[mine])
+            known_docs, run_counts = np.unique(run_docs, return_counts=True)
             pack = (lambda at: first[at]) if self.exact else (lambda at: (first[at] & LOW).astype(np.uint32))
             yield pa.record_batch({k: [v] for k, v in {
                 "__shard": s, "rids": rids[owners].tobytes(), "counts": counts.astype(np.uint32).tobytes(),
@@ -119,8 +121,7 @@ class _Buffer:
                 "places": places[ask].astype(np.uint32).tobytes() if self.exact else b"",
                 "heavy_first": pack(strong).tobytes(), "heavy_second": second[strong].tobytes() if self.exact else b"",
                 "known_rids": rids[known_docs].tobytes(),
-                "known_counts": np.array([len(r) for r in runs], np.uint32).tobytes(),
-                "known": np.concatenate(runs).tobytes() if runs else b""}.items()},
+                "known_counts": run_counts.astype(np.uint32).tobytes(), "known": runs.tobytes()}.items()},
                 schema=pa.schema([(n, pa.int32() if n == "__shard" else pa.binary()) for n in
                                   ("__shard", "rids", "counts", "first", "second", "places", "heavy_first",
                                    "heavy_second", "known_rids", "known_counts", "known")]))
@@ -156,17 +157,14 @@ def _ask_exact(size: int, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buffer = _Buffer(shards, exact=True)
         for batch in batches:
-            rows, hints = column(batch, _ROW).to_numpy(), column(batch, "__hints")
+            rows, cells, runs = column(batch, _ROW).to_numpy(), column(batch, "__cells"), column(batch, "__runs")
             for a, _, words in text_slices(batch):
                 for d, (first, second) in enumerate(_windows(words, size, True)):
-                    cells, picked = [np.empty(0, np.uint64)], np.zeros(len(first), bool)
-                    for hint in hints[a + d].as_py():
-                        if hint["shard"] < 0:
-                            picked[_from_runs(hint["payload"])] = True
-                        else:
-                            cells.append(np.frombuffer(hint["payload"], np.uint32).astype(np.uint64) | U64(hint["shard"] << 32))
                     cell = (((first >> U64(32)) % U64(shards)) << U64(32)) | (first & LOW)
-                    at = np.flatnonzero(picked | np.isin(cell, np.concatenate(cells)))
+                    picked = np.isin(cell, np.frombuffer(cells[a + d].as_py(), np.uint64))
+                    for start, end in _run_bounds(runs[a + d].as_py()).tolist():
+                        picked[start:end] = True
+                    at = np.flatnonzero(picked)
                     buffer.add(rows[a + d], first[at], second[at], at)
                 if buffer.size >= BUFFER:
                     yield from buffer.flush()
@@ -178,65 +176,88 @@ def _arrays(table: pa.Table, name: str, kind) -> list[np.ndarray]:
     return [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
 
 
-def _answers(known: Iterator, told: Iterator) -> pa.Table:
-    rids, shards, payload = [], [], []
-    for rid, shard, raw in [*known, *told]:
-        rids.append(rid)
-        shards.append(shard)
-        payload.append(raw)
-    return pa.table({_ROW: pa.array(rids, pa.int64()), "shard": pa.array(shards, pa.int32()),
-                     "payload": pa.array(payload, pa.binary())})
+def _owners(table: pa.Table, rids: str, counts: str) -> np.ndarray:
+    """The row key of every item of packed rows, in order."""
+    return np.repeat(np.concatenate(_arrays(table, rids, np.int64)), np.concatenate(_arrays(table, counts, np.uint32)))
 
 
-def _known(table: pa.Table):
-    for rids, counts, runs in zip(_arrays(table, "known_rids", np.int64), _arrays(table, "known_counts", np.uint32),
-                                  _arrays(table, "known", np.uint32)):
-        ends = np.cumsum(counts.astype(np.int64)) * 2
-        for rid, n, end in zip(rids.tolist(), counts.tolist(), ends.tolist()):
-            yield rid, -1, runs[end - 2 * n:end].tobytes()
+def _homeward(homes: int, answers: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.Table:
+    """Packs ``(runs?, row key of each item, items)`` by the home of the row key."""
+    rows = []
+    for runs, rid, items in answers:
+        home = (rid.view(np.uint64) % U64(homes)).astype(np.int64)
+        order = np.lexsort((rid, home))
+        home, rid, items = home[order], rid[order], items[order]
+        for h in np.unique(home).tolist():
+            a, b = np.searchsorted(home, [h, h + 1])
+            names, counts = np.unique(rid[a:b], return_counts=True)
+            rows.append((h, runs, names.tobytes(), counts.astype(np.uint32).tobytes(), items[a:b].tobytes()))
+    columns = list(zip(*rows)) or [()] * 5
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["__home", "runs", "rids", "counts", "items"])
 
 
-def _per_owner(table: pa.Table, flagged: np.ndarray, values: np.ndarray):
-    """(rid, its flagged values) over all asking rows in order."""
-    rids, counts = np.concatenate(_arrays(table, "rids", np.int64)), np.concatenate(_arrays(table, "counts", np.uint32))
-    owner = np.repeat(np.arange(len(rids)), counts)[flagged]
-    some = np.unique(owner)
-    for o, part in zip(some.tolist(), np.split(values[flagged], np.searchsorted(owner, some)[1:])):
-        yield int(rids[o]), part
+def _known(table: pa.Table):
+    return 1, _owners(table, "known_rids", "known_counts"), np.concatenate(_arrays(table, "known", np.uint64))
 
 
-def _merge_sketch(table: pa.Table) -> pa.Table:
-    """Adds up the partitions' sketches of one shard; returns the asked cells
+def _merge_sketch(homes: int):
+    """Adds up the partitions' sketches of one shard; answers the asked cells
     with more than one start."""
-    shard = table.column("__shard")[0].as_py()
-    asked = np.concatenate(_arrays(table, "first", np.uint32))
-    heavy = np.concatenate(_arrays(table, "heavy_first", np.uint32))
-    cells = np.sort(np.concatenate([asked, heavy, heavy]))
-    full = cells[1:][cells[1:] == cells[:-1]]
-    flagged = np.flatnonzero(np.isin(asked, full))
-    return _answers(_known(table), ((rid, shard, np.unique(part).tobytes()) for rid, part in _per_owner(table, flagged, asked)))
-
-
-def _merge_exact(table: pa.Table) -> pa.Table:
-    first, second, places = (np.concatenate(_arrays(table, n, k)) for n, k in
-                             (("first", np.uint64), ("second", np.uint64), ("places", np.uint32)))
-    strong_first, strong_second = (np.concatenate(_arrays(table, n, np.uint64)) for n in ("heavy_first", "heavy_second"))
-    a, b = np.concatenate([first, strong_first, strong_first]), np.concatenate([second, strong_second, strong_second])
-    order = np.lexsort((b, a))
-    same = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
-    again = np.zeros(len(a), bool)
-    again[order[1:]] |= same
-    again[order[:-1]] |= same
-    flagged = np.flatnonzero(again[:len(first)])
-    return _answers(_known(table), ((rid, -1, _to_runs(part.astype(np.int64)).tobytes())
-                                    for rid, part in _per_owner(table, flagged, places)))
+    def run(table: pa.Table) -> pa.Table:
+        shard = table.column("__shard")[0].as_py()
+        asked = np.concatenate(_arrays(table, "first", np.uint32))
+        heavy = np.concatenate(_arrays(table, "heavy_first", np.uint32))
+        cells = np.sort(np.concatenate([asked, heavy, heavy]))
+        full = cells[1:][cells[1:] == cells[:-1]]
+        flagged = np.flatnonzero(np.isin(asked, full))
+        return _homeward(homes, [_known(table), (0, _owners(table, "rids", "counts")[flagged],
+                                                 asked[flagged].astype(np.uint64) | U64(shard << 32))])
+    return run
+
+
+def _merge_exact(homes: int):
+    """Groups one shard's windows by both hashes; answers the places of those
+    that occur more than once."""
+    def run(table: pa.Table) -> pa.Table:
+        first, second, places = (np.concatenate(_arrays(table, n, k)) for n, k in
+                                 (("first", np.uint64), ("second", np.uint64), ("places", np.uint32)))
+        strong_first, strong_second = (np.concatenate(_arrays(table, n, np.uint64)) for n in ("heavy_first", "heavy_second"))
+        a, b = np.concatenate([first, strong_first, strong_first]), np.concatenate([second, strong_second, strong_second])
+        order = np.lexsort((b, a))
+        same = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
+        again = np.zeros(len(a), bool)
+        again[order[1:]] |= same
+        again[order[:-1]] |= same
+        flagged = np.flatnonzero(again[:len(first)])
+        owner, places = _owners(table, "rids", "counts")[flagged], places[flagged]
+        order = np.lexsort((places, owner))
+        return _homeward(homes, [_known(table), (1, *_to_runs(owner[order], places[order]))])
+    return run
+
+
+def _gather(table: pa.Table) -> pa.Table:
+    """One row per row key of a home: its flagged cells and its runs."""
+    parts, kind = {}, table.column("runs").to_numpy()
+    for runs in (0, 1):
+        part = table.filter(pa.array(kind == runs))
+        rid = _owners(part, "rids", "counts") if part.num_rows else np.empty(0, np.int64)
+        items = np.concatenate(_arrays(part, "items", np.uint64)) if part.num_rows else np.empty(0, np.uint64)
+        order = np.argsort(rid, kind="stable")
+        parts[runs] = rid[order], items[order]
+    names = np.unique(np.concatenate([parts[0][0], parts[1][0]]))
+    packed = []
+    for rid, items in parts.values():
+        cuts = np.searchsorted(rid, names, "left"), np.searchsorted(rid, names, "right")
+        packed.append(pa.array([items[a:b].tobytes() for a, b in zip(*(c.tolist() for c in cuts))], pa.binary()))
+    return pa.table([pa.array(names, pa.int64()), *packed], names=[_ROW, "__cells", "__runs"])
 
 
 def _cut(size: int, names: list[str]):
     """Kept words joined by one space, and the numbers of words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hints = column(batch, "__hints")
+            hints = column(batch, "__runs")
             for a, b, words in text_slices(batch):
                 raw = words.data.tobytes()
                 kept, totals, removed = [], words.counts, []
@@ -248,10 +269,9 @@ def _cut(size: int, names: list[str]):
                         removed.append(0)
                         continue
                     cover = np.zeros(hi - lo + 1, np.int64)
-                    for x in hint:
-                        for start, end in np.frombuffer(x["payload"], np.uint32).reshape(-1, 2).tolist():
-                            cover[start] += 1
-                            cover[end - 1 + size] -= 1
+                    runs = _run_bounds(hint)
+                    np.add.at(cover, runs[:, 0], 1)
+                    np.add.at(cover, runs[:, 1] - 1 + size, -1)
                     stay = np.cumsum(cover)[:-1] == 0
                     removed.append(int((~stay).sum()))
                     kept.append(b" ".join([raw[s:e] for s, e in zip(words.starts[lo:hi][stay].tolist(), words.ends[lo:hi][stay].tolist())]))
@@ -268,14 +288,15 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
     docs = docs.select(*names)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = int(total // SHARD_BYTES) + 1
+    homes = 4 * shards
     keyed = docs.withColumn(_ROW, F.xxhash64("doc_id", "text"))
 
-    def hints(asked: DataFrame, merge) -> DataFrame:
-        answers = asked.groupBy("__shard").applyInArrow(merge, _ANSWER)
-        return answers.groupBy(_ROW).agg(F.collect_list(F.struct("shard", "payload")).alias("__hints"))
+    def answers(asked: DataFrame, merge) -> DataFrame:
+        packed = asked.groupBy("__shard").applyInArrow(merge(homes), _ANSWER)
+        return packed.groupBy("__home").applyInArrow(_gather, _HINTS)
 
-    estimated = hints(keyed.select(_ROW, "text").mapInArrow(_ask_sketch(window, shards), _ASK), _merge_sketch)
-    repeated = hints(keyed.join(estimated, _ROW).mapInArrow(_ask_exact(window, shards), _ASK), _merge_exact)
+    estimated = answers(keyed.select(_ROW, "text").mapInArrow(_ask_sketch(window, shards), _ASK), _merge_sketch)
+    repeated = answers(keyed.join(estimated, _ROW).mapInArrow(_ask_exact(window, shards), _ASK), _merge_exact)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", n_words long, n_removed long, kept_text string"
     return keyed.join(repeated, _ROW, "left").mapInArrow(_cut(window, names), schema)
