@@ -9,6 +9,7 @@ from lexis.llm import language_id, lm, url_filter
 from lexis.llm.html_text import main_texts
 from lexis.llm.mixing import mix_sources
 from lexis.llm.near_dup import near_duplicates
+from lexis.llm.quality import classify
 from lexis.llm.registry import ORACLE, QUERIES, register, table  # noqa: F401
 from lexis.llm.substring_dedup import dedup_substrings
 from lexis.llm.vp_search import nearest
@@ -20,6 +21,12 @@ def held_out(parts: int):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % parts == 0
 
 
+@register("op1_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity, threshold and decision for every document."""
+    return classify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
+
+
 @register("op2_url_filter")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page url: the longest rule, else the trained model."""
