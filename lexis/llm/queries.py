@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexis.llm import language_id, lm, url_filter
+from lexis.llm.decontaminate import contaminated
 from lexis.llm.html_text import main_texts
 from lexis.llm.mixing import mix_sources
 from lexis.llm.near_dup import near_duplicates
@@ -35,6 +36,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), model, rules).drop("url")
 
 
+@register("op3_benchmark_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it contains to 80 % of
+    its 5-word shingles."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("op4_lm_scoring")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kneser-Ney score of every document, trained on nine tenths of them."""
