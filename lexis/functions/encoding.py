@@ -28,7 +28,7 @@ def repair(s: str) -> str:
     drop control characters and normalise quotes."""
     if s is None:
         return None
-    for _ in range(3):
+    while True:  # every pass lowers the marker count, so this ends
         fixed = None
         for codec in ("cp1252", "latin-1"):
             try:
@@ -52,7 +52,8 @@ def repair_udf(texts: pd.Series) -> pd.Series:
 
 
 def fix_encoding_full(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
+    """Adds ``out_col``: the Python repair where the marker pattern matches (only
+    those texts travel to Python), the native one elsewhere."""
     flagged = tx.has_mojibake(text_col)
-    py = df.where(flagged).withColumn(out_col, repair_udf(F.col(text_col)))
-    native = df.where(~flagged).withColumn(out_col, tx.fix_encoding(text_col))
-    return native.unionByName(py)
+    repaired = repair_udf(F.when(flagged, F.col(text_col)))
+    return df.withColumn(out_col, F.when(flagged, repaired).otherwise(tx.fix_encoding(text_col)))

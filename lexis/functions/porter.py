@@ -3,13 +3,14 @@ stripping", Program 14(3), 1980) with the common extensions used by the
 reference's stemmer: an irregular-form table, short words left alone, the
 ``ies``/``ied`` length rule and the extra step-2 suffixes.
 
-It is a pure ``str -> str`` helper.  The library never calls it per row: the
-stemming variant applies it once per *distinct* token through an Arrow
-``pandas_udf`` and joins the stems back (see ``lexis.operators.clean``).
+It is a pure ``str -> str`` helper of the stemming variant's row-local Arrow
+``pandas_udf``, which keeps the stems it has seen (see ``lexis.operators.clean``).
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 # Irregular forms mapped directly to their stem.
 IRREGULAR = {
     "skies": "sky", "sky": "sky", "dying": "die", "lying": "lie", "tying": "tie",
@@ -65,13 +66,20 @@ def _apply_rules(w: str, rules, min_m: int) -> str:
     return w
 
 
+def _step2(w: str) -> str:
+    if w.endswith("alli") and _measure(w[:-4]) > 0:
+        return _step2(w[:-2])
+    if w.endswith("logi"):  # the l counts with the stem
+        return w[:-1] if _measure(w[:-3]) > 0 else w
+    return _apply_rules(w, _STEP2, 0)
+
+
 _STEP2 = sorted([
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"),
     ("izer", "ize"), ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"),
     ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"), ("ator", "ate"),
     ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"),
     ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"), ("fulli", "ful"),
-    ("lessli", "less"), ("logi", "log"),
 ], key=lambda r: -len(r[0]))
 _STEP3 = sorted([
     ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"),
@@ -82,6 +90,7 @@ _STEP4 = sorted([(s, "") for s in (
     "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize")], key=lambda r: -len(r[0]))
 
 
+@lru_cache(maxsize=1 << 18)
 def stem(word: str) -> str:
     w = word.lower()
     if w in IRREGULAR:
@@ -119,7 +128,7 @@ def stem(word: str) -> str:
     if w.endswith("y") and len(w) > 2 and _is_cons(w, len(w) - 2):
         w = w[:-1] + "i"
     # steps 2-4
-    w = _apply_rules(w, _STEP2, 0)
+    w = _step2(w)
     w = _apply_rules(w, _STEP3, 0)
     w = _apply_rules(w, _STEP4, 1)
     # step 5a

@@ -7,11 +7,13 @@ whole-stage codegen; no Python runs per row.
 Regex dialect: Spark evaluates Java regexes, the DuckDB oracle RE2.  Both read
 the patterns below identically because every class is spelled out:
 ``\\w`` (Unicode in the reference) becomes ``[\\p{L}\\p{N}_]`` and ``\\s``
-becomes the ASCII whitespace class ``WS``.
+becomes the Unicode whitespace class ``WS``.
 """
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ SINGLE_QUOTES = "’‘`´"
 DOUBLE_QUOTES = "“”„«»"
 # C3 URLs, C4 mentions, C5 hashtags, C6 astral characters and ASCII emoticons,
 # C7 allowed characters, C8 whitespace runs, C15 mojibake marker characters.
-WS = r"\t\n\x0B\f\r "
+WS = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WORD = r"[\p{L}\p{N}_]"
 URL_PATTERN = rf"https?://[^{WS}]+|www\.[^{WS}]+"
 MENTION_PATTERN = rf"@{WORD}+|u/{WORD}+"
@@ -40,16 +42,34 @@ WORD_TOKEN_PATTERN = r"\b\w\w+\b"
 # C2 repair subset: the encoding repairs whose effect survives C7 (everything
 # non-ASCII becomes a space there), applied before C1.
 CONTROL_CHARS_PATTERN = r"[\x00-\x08\x0E-\x1F\x7F]"
-MOJIBAKE_REPAIRS = [
-    ("â€™", "’"), ("â€˜", "‘"), ("â€œ", "“"), ("â€\u009d", "”"),
-    ("â€“", "–"), ("â€”", "—"), ("â€¦", "…"),
-]
+REPAIRED_MARKS = "’‘“”–—…"
+GARBLING_LEVELS = 3
+
+
+def _garbled(s: str) -> str:
+    """``s`` in UTF-8 bytes read as cp1252 (as Latin-1 where cp1252 has no character)."""
+    out = []
+    for b in s.encode("utf-8"):
+        try:
+            out.append(bytes([b]).decode("cp1252"))
+        except UnicodeDecodeError:
+            out.append(chr(b))
+    return "".join(out)
+
+
+def _garblings(mark: str) -> list[tuple[str, str]]:
+    """The mark garbled one to ``GARBLING_LEVELS`` times."""
+    out, s = [], mark
+    for _ in range(GARBLING_LEVELS):
+        s = _garbled(s)
+        out.append((s, mark))
+    return out
+
+
+MOJIBAKE_REPAIRS = sorted((pair for mark in REPAIRED_MARKS for pair in _garblings(mark)), key=lambda p: -len(p[0]))
 # C1 control characters read as cp1252 quotes.
 C1_SINGLE_QUOTES, C1_DOUBLE_QUOTES = "\u0091\u0092", "\u0093\u0094"
-HTML_ENTITIES = [  # &amp; last so that "&amp;lt;" unescapes once, to "&lt;"
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-    ("&#x27;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"),
-]
+ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 LIGATURES = [("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"),
              ("ﬅ", "st"), ("ﬆ", "st"), ("Ĳ", "IJ"), ("ĳ", "ij")]
 # Full-width forms U+FF01..U+FF5E map by rule onto ASCII U+0021..U+007E.
@@ -91,13 +111,36 @@ def normalize_quotes(c) -> Column:
                        "'" * len(SINGLE_QUOTES) + '"' * len(DOUBLE_QUOTES))
 
 
+def unescape_html(c) -> Column:
+    """Numeric and named character references (those of HTML 4 and ``&apos;``),
+    each decoded once.  The text is cut at ``&``: every piece but the first
+    starts with a reference or is left as it was."""
+    c = _col(c)
+    names = {**{n: chr(p) for n, p in name2codepoint.items()}, "apos": "'"}
+    book = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+
+    def decode(piece: Column) -> Column:
+        ref = F.regexp_extract(piece, ENTITY, 1)
+        number = F.when(F.lower(F.substring(ref, 2, 1)) == "x", F.conv(F.substring(ref, 3, 8), 16, 10)).otherwise(
+            F.substring(ref, 2, 8)).try_cast("int")
+        valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        numeric = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise(F.lit("\uFFFD"))
+        found = F.when(F.startswith(ref, F.lit("#")), numeric).otherwise(F.try_element_at(book, ref))
+        return F.when((ref != "") & found.isNotNull(), F.concat(found, F.substr(piece, F.length(ref) + 2))).otherwise(
+            F.concat(F.lit("&"), piece))
+
+    pieces = F.split(c, "&", -1)
+    rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decode)
+    return F.when(F.instr(c, "&") > 0, F.concat(pieces[0], F.array_join(rest, ""))).otherwise(c)
+
+
 def fix_encoding(c) -> Column:
-    """C2 (native subset): control characters, quote mojibake, C1 controls,
-    HTML entities (only when the text has no '<'), full-width forms and Latin
-    ligatures; then C1."""
+    """C2 (native): control characters, mojibake of quotes, dashes and dots
+    (garbled up to three times), C1 controls, HTML entities (only when the text
+    has no '<'), full-width forms and Latin ligatures; then C1."""
     c = _re(_col(c), CONTROL_CHARS_PATTERN, "")
     rep = _replace_all(c, MOJIBAKE_REPAIRS)
-    rep = F.when(F.instr(rep, "<") > 0, rep).otherwise(_replace_all(rep, HTML_ENTITIES))
+    rep = F.when(F.instr(rep, "<") > 0, rep).otherwise(unescape_html(rep))
     rep = _replace_all(rep, LIGATURES)
     c = F.when(c.rlike(REPAIR_TRIGGER), rep).otherwise(c)  # one scan instead of ~24 on clean texts
     return F.translate(c, SINGLE_FROM, SINGLE_TO)

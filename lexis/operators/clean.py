@@ -2,9 +2,9 @@
 
 A variant is a ``DataFrame -> DataFrame`` transformation that replaces one
 text column, so it plugs into ``df.transform`` and into the MLlib pipeline's
-cleaning stage.  Three variants are pure Column expressions; stemming is a
-vocabulary-level job: distinct tokens are stemmed once each by an Arrow
-``pandas_udf`` and joined back, then each document is re-assembled in order.
+cleaning stage.  Three variants are pure Column expressions; stemming adds a
+row-local Arrow ``pandas_udf`` with a memo of the stems seen, so no variant
+shuffles and all work in the pipeline and on streams.
 """
 
 from __future__ import annotations
@@ -19,14 +19,12 @@ from pyspark.sql import types as T
 from lexis.functions import stopwords as sw
 from lexis.functions import text as tx
 from lexis.functions.porter import stem
-from lexis.operators.joins import broadcast_if_small
 
 
 def drop_words(c: str | Column, words: list[str]) -> Column:
     """Whitespace tokens not in ``words``, re-joined with one space."""
     col = F.col(c) if isinstance(c, str) else c
-    stop = F.array(*[F.lit(w) for w in words])
-    kept = F.filter(F.split(col, " "), lambda t: ~F.array_contains(stop, t) & (t != ""))
+    kept = F.filter(F.split(col, " "), lambda t: ~t.isin(words) & (t != ""))
     return F.array_join(kept, " ")
 
 
@@ -41,50 +39,27 @@ def clean_curated(c: str | Column) -> Column:
 
 
 @F.pandas_udf(T.StringType())
-def porter_stem(tokens: pd.Series) -> pd.Series:
-    """Porter stem of each (distinct) token."""
-    return tokens.map(stem)
+def stem_words(texts: pd.Series) -> pd.Series:
+    """Porter stem of every blank-separated token, order kept."""
+    return texts.map(lambda t: None if t is None else " ".join([stem(w) for w in t.split(" ")]))
 
 
-def stem_column(df: DataFrame, id_col: str, text_col: str, out_col: str) -> DataFrame:
-    """C13 on already-cleaned text: stem every whitespace token, keep the count and order.
+def clean_stemmed(c: str | Column) -> Column:
+    """Base clean, then the stem of every token."""
+    return stem_words(tx.clean_text(c))
 
-    ``id_col`` must identify rows uniquely.  Stems are computed once per
-    distinct token; the (token -> stem) table is broadcast only after a count
-    proves it small, otherwise the join shuffles and AQE splits hot tokens."""
-    toks = df.select(id_col, F.posexplode(F.split(F.col(text_col), " ")).alias("pos", "tok"))
-    vocab = toks.select("tok").distinct()
-    stems = broadcast_if_small(vocab.withColumn("stem", porter_stem("tok")))
-    joined = toks.join(stems, "tok")
-    rebuilt = joined.groupBy(id_col).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "stem"))), lambda x: x["stem"]),
-                     " ").alias(out_col))
-    return df.join(rebuilt, id_col, "left").withColumn(out_col, F.coalesce(F.col(out_col), F.lit("")))
 
-
-def _column_variant(fn: Callable[[Column], Column]):
-    def run(df: DataFrame, text_col: str, id_col: str = "text_id") -> DataFrame:
-        return df.withColumn(text_col, fn(F.col(text_col)))
-    return run
-
-
-def _stem_variant(df: DataFrame, text_col: str, id_col: str = "text_id") -> DataFrame:
-    base = df.withColumn(text_col, tx.clean_text(text_col))
-    return stem_column(base, id_col, text_col, "_stemmed").drop(text_col).withColumnRenamed("_stemmed", text_col)
-
-
-# C14 registry: variant name -> frame transformation.
-CLEANERS = {
-    "base": _column_variant(tx.clean_text),
-    "stopwords_general": _column_variant(clean_general),
-    "stopwords_curated": _column_variant(clean_curated),
-    "stemming": _stem_variant,
+# C14 registry: variant name -> Column function.
+VARIANTS: dict[str, Callable[[str | Column], Column]] = {
+    "base": tx.clean_text,
+    "stopwords_general": clean_general,
+    "stopwords_curated": clean_curated,
+    "stemming": clean_stemmed,
 }
-NATIVE_VARIANTS = ("base", "stopwords_general", "stopwords_curated")
 
 
-def clean_frame(df: DataFrame, text_col: str, variant: str = "base", id_col: str = "text_id") -> DataFrame:
+def clean_frame(df: DataFrame, text_col: str, variant: str = "base") -> DataFrame:
     """Replace ``text_col`` by its cleaned form, other columns preserved."""
-    if variant not in CLEANERS:
+    if variant not in VARIANTS:
         raise ValueError(f"Unknown variant: {variant!r}")
-    return CLEANERS[variant](df, text_col, id_col)
+    return df.withColumn(text_col, VARIANTS[variant](F.col(text_col)))

@@ -64,5 +64,5 @@ def train_job(labelled: DataFrame, model: str, params: dict | None, cfg: TfidfCo
 
 
 def blind_predictions(m: PipelineModel, unlabelled: DataFrame, id_col: str = "text_id") -> DataFrame:
-    """``text_id, prediction, probability`` for documents without labels."""
-    return md.predict(m, unlabelled, [id_col])
+    """``text_id, prediction, probability`` (4 dp) for documents without labels."""
+    return md.rounded(md.predict(m, unlabelled, [id_col]))

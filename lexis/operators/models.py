@@ -18,13 +18,14 @@ import math
 import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector, SparseVector, Vectors, VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
+                             MLReadable, MLReader, MLWritable, MLWriter)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,10 +52,9 @@ class TextCleaner(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
 
     def _transform(self, df: DataFrame) -> DataFrame:
         v = self.getOrDefault(self.variant)
-        fns = {"base": tx.clean_text, "stopwords_general": cl.clean_general, "stopwords_curated": cl.clean_curated}
-        if v not in fns:
-            raise ValueError(f"Unknown variant: {v!r} (pipeline variants: {sorted(fns)})")
-        return df.withColumn(self.getOutputCol(), fns[v](F.col(self.getInputCol())))
+        if v not in cl.VARIANTS:
+            raise ValueError(f"Unknown variant: {v!r} (pipeline variants: {sorted(cl.VARIANTS)})")
+        return df.withColumn(self.getOutputCol(), cl.VARIANTS[v](F.col(self.getInputCol())))
 
 
 class TermExtractor(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -203,8 +203,7 @@ class MarginPlatt(Estimator):
 
     @staticmethod
     def _margin(df: DataFrame, raw: str) -> DataFrame:
-        m = vector_to_array(F.col(raw))[1]
-        return df.withColumn("_margin", F.array(m)).withColumn("_mvec", _arr_to_vec(F.col("_margin")))
+        return df.withColumn("_mvec", array_to_vector(F.array(vector_to_array(F.col(raw))[1])))
 
     def _fit(self, df: DataFrame) -> "MarginPlattModel":
         lr = LogisticRegression(featuresCol="_mvec", labelCol=self.labelCol, predictionCol="_platt_pred",
@@ -214,24 +213,52 @@ class MarginPlatt(Estimator):
         return MarginPlattModel(lr.fit(self._margin(df, self.rawCol)), self.rawCol)
 
 
-class MarginPlattModel(Model):
+class MarginPlattModel(Model, MLWritable, MLReadable):
     def __init__(self, lr_model=None, rawCol="svm_raw"):
         super().__init__()
         self.lr_model, self.rawCol = lr_model, rawCol
 
     def _transform(self, df: DataFrame) -> DataFrame:
         out = self.lr_model.transform(MarginPlatt._margin(df, self.rawCol))
-        return out.drop("_margin", "_mvec", "_platt_pred", "_platt_raw")
+        return out.drop("_mvec", "_platt_pred", "_platt_raw")
 
+    def write(self) -> "MarginPlattWriter":
+        return MarginPlattWriter(self)
 
-@F.udf(VectorUDT(), useArrow=True)
-def _arr_to_vec(a):
-    return DenseVector(a)
+    @classmethod
+    def read(cls) -> "MarginPlattReader":
+        return MarginPlattReader(cls)
+
+
+class MarginPlattWriter(MLWriter):
+    """Saves the name of the margin column and the inner logistic model."""
+
+    def __init__(self, instance: MarginPlattModel):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession,
+                                         extraMetadata={"rawCol": self.instance.rawCol})
+        self.instance.lr_model.write().save(f"{path}/platt")
+
+
+class MarginPlattReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str) -> MarginPlattModel:
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        found = self.cls(LogisticRegressionModel.load(f"{path}/platt"), meta["rawCol"])
+        found._resetUid(meta["uid"])
+        return found
 
 
 # --------------------------------------------------------------------------- estimator registry (F1)
 REJECTED_PARAMS = {"reg_alpha", "reg_lambda"}
-NON_CONSTRUCTOR = {"class", "early_stopping_rounds", "eval_metric"}
+NON_CONSTRUCTOR = {"class", "eval_metric"}
+MAX_TREE_DEPTH = 30  # MLlib's own limit
 ESTIMATORS = ("gbt", "logreg", "linear_svc", "rff_svc")
 DEFAULT_GBT = {"n_estimators": 500, "max_depth": 6, "learning_rate": 0.05, "random_state": 42,
                "scale_pos_weight": 0.93}
@@ -243,13 +270,17 @@ def build_classifier(name: str, params: dict | None, n_train: float, weighted: b
     bad = REJECTED_PARAMS & set(p)
     if bad:
         raise ValueError(f"parameters without an MLlib counterpart: {sorted(bad)}")
+    if p.pop("early_stopping_rounds", None) is not None:
+        raise ValueError("early_stopping_rounds needs a validation part: use jobs.train_job or gbt_early_stopping")
+    if int(p.get("max_depth", 6)) > MAX_TREE_DEPTH:
+        raise ValueError(f"max_depth above {MAX_TREE_DEPTH} is not supported")
     seed = int(p.pop("random_state", 42))
     w = {"weightCol": "weight"} if weighted else {}
     if name == "gbt":
         cs = float(p.get("colsample_bytree", 1.0))
         return [GBTClassifier(
             featuresCol="features", labelCol="label", seed=seed,
-            maxIter=int(p.get("n_estimators", 100)), maxDepth=min(int(p.get("max_depth", 6)), 30),
+            maxIter=int(p.get("n_estimators", 100)), maxDepth=int(p.get("max_depth", 6)),
             stepSize=float(p.get("learning_rate", 0.1)), subsamplingRate=float(p.get("subsample", 1.0)),
             featureSubsetStrategy="all" if cs >= 1.0 else str(cs), minInfoGain=float(p.get("gamma", 0.0)),
             minInstancesPerNode=max(1, int(round(float(p.get("min_child_weight", 1))))), **w)]
@@ -266,7 +297,7 @@ def build_classifier(name: str, params: dict | None, n_train: float, weighted: b
         return [RandomFourierFeatures(inputCol="features", outputCol="rff", gamma=gamma,
                                       dim=int(p.get("n_components", 256)), seed=seed),
                 LinearSVC(featuresCol="rff", labelCol="label", regParam=reg, standardization=False,
-                          rawPredictionCol="svm_raw", predictionCol="prediction", maxIter=200, **w),
+                          rawPredictionCol="svm_raw", predictionCol="prediction", maxIter=int(p.get("max_iter", 200)), **w),
                 MarginPlatt(rawCol="svm_raw", labelCol="label", weightCol="weight" if weighted else None)]
     raise ValueError(f"Unknown model: {name!r}; choose from {ESTIMATORS}")
 
@@ -327,10 +358,16 @@ def fit(train: DataFrame, model: str = "gbt", model_params: dict | None = None,
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
-    """F8: class and P(class = 1) (4 dp) in one transform."""
+    """F8: class and P(class = 1) in one transform.  Metrics need the raw score;
+    only exported predictions are rounded (``rounded``)."""
     out = model.transform(df)
     return out.select(*keep, F.col("prediction").cast("int").alias("prediction"),
-                      F.round(vector_to_array("probability")[1], 4).alias("probability"))
+                      vector_to_array("probability")[1].alias("probability"))
+
+
+def rounded(predictions: DataFrame, dp: int = 4) -> DataFrame:
+    """The exported form of predictions."""
+    return predictions.withColumn("probability", F.round("probability", dp))
 
 
 def gbt_early_stopping(train: DataFrame, val: DataFrame, params: dict, cfg: TfidfConfig, rounds: int,

@@ -179,10 +179,7 @@ def top_tokens_outer(top: DataFrame) -> DataFrame:
 
 def vocab_union(df: DataFrame, text_col: str = "title_text", label: str = "label") -> DataFrame:
     """Set union of the positive-class and negative-class vocabularies."""
-    toks = df.select(label, F.explode(tx.alpha_tokens(text_col)).alias("term"))
-    pos = toks.where(F.col(label) == 1).select("term")
-    neg = toks.where(F.col(label) == 0).select("term")
-    return pos.union(neg).distinct()
+    return df.where(F.col(label).isin(0, 1)).select(F.explode(tx.alpha_tokens(text_col)).alias("term")).distinct()
 
 
 def discriminative_terms(counts: DataFrame, min_count: int = 30, k: int = 15) -> DataFrame:

@@ -57,14 +57,21 @@ def _literal_map(d: dict, key_type: str, value_type: str) -> Column:
 
 def stratified_split(df: DataFrame, id_col: str = "text_id", label: str = "label",
                      test_size: float = 0.2, seed: int | str = 42, out: str = "split") -> DataFrame:
-    """Adds ``split`` in {'train', 'test'}."""
+    """Adds ``split`` in {'train', 'test'}.
+
+    Only ``(id, label)`` is ranked, to find the last test row of each class; every
+    row is then compared with its class's cutoff, so texts are not shuffled."""
     counts = class_counts(df, label)
     n = sum(c for _, c in counts)
     quotas = largest_remainder(counts, math.ceil(test_size * n))
     q = F.element_at(_literal_map(quotas, "int", "long"), F.col(label))
-    return (ranked(df, id_col, label, seed)
-            .withColumn(out, F.when(F.col("_rank") <= q, F.lit("test")).otherwise(F.lit("train")))
-            .drop("_rank"))
+    last = (ranked(df.select(id_col, label), id_col, label, seed).where(F.col("_rank") == q)
+            .select(label, hash_key(id_col, seed).alias("_key"), id_col).collect())  # one row per class
+    test = F.lit(False)
+    for value, key, ident in last:
+        mine = hash_key(id_col, seed)
+        test = test | ((F.col(label) == value) & ((mine < key) | ((mine == key) & (F.col(id_col) <= ident))))
+    return df.withColumn(out, F.when(test, F.lit("test")).otherwise(F.lit("train")))
 
 
 def stratified_kfold(df: DataFrame, id_col: str = "text_id", label: str = "label", n_splits: int = 5,

@@ -13,7 +13,7 @@ Plan shape (what ``explain`` shows):
   pre-combined per task;
 * ``max_features`` is a bounded ``TakeOrderedAndProject`` (ties by term);
 * the vocabulary join is a broadcast only when its size is proven
-  (``max_features``) or counted below the limit; otherwise a shuffle join.
+  (``max_features``); otherwise adaptive execution decides by bytes.
 
 Formulas: idf = ln((1 + N) / (1 + df)) + 1; tf' = 1 + ln(tf) when sublinear;
 rows are L2-normalised per document.
@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexis.functions import text as tx
-from lexis.operators.joins import broadcast_if_small
 from lexis.operators.rank import bucketed_row_number
 from lexis.session import materialize
 
@@ -105,7 +104,7 @@ def fit_vocabulary(tf: DataFrame, n_docs: int, cfg: TfidfConfig) -> DataFrame:
 
 def _vocab_side(vocab: DataFrame, cfg: TfidfConfig) -> DataFrame:
     side = vocab.select("term", "index", "idf")
-    return F.broadcast(side) if cfg.max_features is not None else broadcast_if_small(side)
+    return F.broadcast(side) if cfg.max_features is not None else side
 
 
 def weights(tf: DataFrame, vocab: DataFrame, id_col: str, cfg: TfidfConfig) -> DataFrame:

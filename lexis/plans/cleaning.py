@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from lexis.functions import stopwords as sw
 from lexis.functions import text as tx
-from lexis.functions.encoding import fix_encoding_full
 from lexis.operators import clean as cl
 from lexis.operators.nulls import concat_columns, handle_missing, map_label
 from lexis.plans import sql as S
 from lexis.plans.registry import register
+from lexis.plans.stem_sql import stem_ctes
 from lexis.sources.corpus import corpus
 from lexis.sources.tables import posts
 
@@ -53,18 +53,21 @@ def clean_stop_curated(spark, sf):
     return corpus(spark, sf).select("text_id", cl.clean_curated("title_text").alias("cleaned"))
 
 
-@register("clean_stem")
+@register("clean_stem", S.with_corpus("""
+SELECT t.text_id, string_agg(s.stem, ' ' ORDER BY t.pos) AS cleaned
+FROM (SELECT text_id, unnest(string_split(cleaned, ' ')) AS tok, generate_subscripts(string_split(cleaned, ' '), 1) AS pos FROM base) t
+JOIN stems s ON s.tok = t.tok GROUP BY t.text_id""",
+    f"base AS (SELECT text_id, {S.clean_text('title_text')} AS cleaned FROM corpus),\n" + stem_ctes("base")))
 def clean_stem(spark, sf):
-    """Base clean + Porter stem per token through the distinct-token join (rows-only check)."""
+    """Base clean, then the Porter stem of every token."""
     return cl.clean_frame(corpus(spark, sf).select("text_id", "title_text"), "title_text", "stemming") \
         .select("text_id", F.col("title_text").alias("cleaned"))
 
 
-@register("fix_encoding")
+@register("fix_encoding", S.with_corpus(f"SELECT text_id, {S.fix_encoding('title_text')} AS cleaned FROM corpus"))
 def fix_encoding(spark, sf):
-    """Native repair for all rows; flagged rows go through the Python repair (rows-only check)."""
-    return fix_encoding_full(corpus(spark, sf).select("text_id", "title_text"), "title_text", "cleaned") \
-        .select("text_id", "cleaned")
+    """Encoding repair of every document."""
+    return corpus(spark, sf).select("text_id", tx.fix_encoding("title_text").alias("cleaned"))
 
 
 def _variant_stats_sql(name: str, expr: str) -> str:
@@ -76,12 +79,13 @@ def _variant_stats_sql(name: str, expr: str) -> str:
 @register("variant_compare", S.with_corpus("\nUNION ALL\n".join([
     _variant_stats_sql("base", S.clean_text("title_text")),
     _variant_stats_sql("stopwords_general", _GENERAL_SQL),
-    _variant_stats_sql("stopwords_curated", _CURATED_SQL)])))
+    _variant_stats_sql("stopwords_curated", _CURATED_SQL),
+    _variant_stats_sql("stemming", S.clean_text("title_text"))])))  # stemming keeps the number of tokens
 def variant_compare(spark, sf):
-    """C14: the three native variants through the registry, token totals and empty outputs per variant."""
+    """C14: all variants through the registry, token totals and empty outputs per variant."""
     base = corpus(spark, sf).select("text_id", "title_text")
     out = None
-    for name in cl.NATIVE_VARIANTS:
+    for name in cl.VARIANTS:
         toks = tx.whitespace_tokens(F.col("title_text"))
         stats = cl.clean_frame(base, "title_text", name).agg(
             F.lit(name).alias("variant"), F.sum(F.size(toks)).cast("long").alias("n_tokens"),
@@ -109,37 +113,37 @@ def preprocess_frame(spark, sf):
 _POST_COLS = "user_id, text_id, title, text, label_raw"
 
 
-@register("null_fill_empty", "WITH " + S.posts_cte() + """
+@register("null_fill_empty", "WITH " + S.posts_cte(gaps=True) + """
 SELECT coalesce(user_id, '') AS user_id, text_id, coalesce(title, '') AS title, coalesce(text, '') AS text,
        coalesce(label_raw, '') AS label_raw FROM posts""")
 def null_fill_empty(spark, sf):
     """B1: every string column filled with ''."""
-    return handle_missing(posts(spark, sf), None, "empty_string")
+    return handle_missing(posts(spark, sf, gaps=True), None, "empty_string")
 
 
-@register("null_drop", "WITH " + S.posts_cte() + f"\nSELECT {_POST_COLS} FROM posts WHERE title IS NOT NULL AND text IS NOT NULL")
+@register("null_drop", "WITH " + S.posts_cte(gaps=True) + f"\nSELECT {_POST_COLS} FROM posts WHERE title IS NOT NULL AND text IS NOT NULL")
 def null_drop(spark, sf):
     """B2: rows with a null title or text dropped."""
-    return handle_missing(posts(spark, sf), ["title", "text"], "drop")
+    return handle_missing(posts(spark, sf, gaps=True), ["title", "text"], "drop")
 
 
-@register("null_placeholder", "WITH " + S.posts_cte() + """
+@register("null_placeholder", "WITH " + S.posts_cte(gaps=True) + """
 SELECT user_id, text_id, coalesce(title, 'missing_data') AS title, coalesce(text, 'missing_data') AS text,
        label_raw FROM posts""")
 def null_placeholder(spark, sf):
     """Nulls in title and text replaced by 'missing_data'."""
-    return handle_missing(posts(spark, sf), ["title", "text"], "placeholder")
+    return handle_missing(posts(spark, sf, gaps=True), ["title", "text"], "placeholder")
 
 
-@register("concat_text", "WITH " + S.posts_cte() + """
+@register("concat_text", "WITH " + S.posts_cte(gaps=True) + """
 SELECT text_id, coalesce(title, '') || ' ' || coalesce(text, '') AS title_text FROM posts""")
 def concat_text(spark, sf):
     """Title and text joined by one space, nulls as ''."""
-    return concat_columns(posts(spark, sf), ["title", "text"]).select("text_id", "title_text")
+    return concat_columns(posts(spark, sf, gaps=True), ["title", "text"]).select("text_id", "title_text")
 
 
-@register("label_map", "WITH " + S.posts_cte() + """
+@register("label_map", "WITH " + S.posts_cte(gaps=True) + """
 SELECT text_id, CASE label_raw WHEN 'yes' THEN 1 WHEN 'no' THEN 0 END AS label FROM posts""")
 def label_map(spark, sf):
     """B5: 'yes' -> 1, 'no' -> 0, anything else null."""
-    return map_label(posts(spark, sf), "label_raw", "yes", "no").select("text_id", F.col("label_raw").alias("label"))
+    return map_label(posts(spark, sf, gaps=True), "label_raw", "yes", "no").select("text_id", F.col("label_raw").alias("label"))

@@ -13,7 +13,8 @@ counts AS (SELECT term, CAST(count_if(label = 1) AS BIGINT) AS freq_pos,
                   CAST(count_if(label = 0) AS BIGINT) AS freq_neg FROM toks GROUP BY term)"""
 _LENS_ALL = f"""lens_all AS (SELECT text_id, label, CAST(length(title_text) AS BIGINT) AS n_chars,
                       {S.token_count('title_text')} AS n_tokens FROM corpus),
-lens AS (SELECT * FROM lens_all WHERE label IS NOT NULL)"""
+lens AS (SELECT * FROM lens_all),
+lens_labelled AS (SELECT * FROM lens_all WHERE label IS NOT NULL)"""
 _TOP = """long AS (SELECT term, 1 AS label, freq_pos AS freq FROM counts
               UNION ALL SELECT term, 0 AS label, freq_neg AS freq FROM counts),
 top AS (SELECT label, rank, term, freq FROM (
@@ -61,12 +62,12 @@ def vocab_union(spark, sf):
     return pr.vocab_union(labelled(spark, sf))
 
 
-@register("null_census", "WITH " + S.posts_cte() + "\n" + "\nUNION ALL\n".join(
+@register("null_census", "WITH " + S.posts_cte(gaps=True) + "\n" + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, '{t}' AS column_type, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null FROM posts"
     for c, t in [("user_id", "string"), ("text_id", "bigint"), ("title", "string"), ("text", "string"),
                  ("label_raw", "string")]))
 def null_census(spark, sf):
-    return pr.null_census(posts(spark, sf))
+    return pr.null_census(posts(spark, sf, gaps=True))
 
 
 @register("class_balance", S.with_corpus("""
@@ -98,7 +99,7 @@ def _describe_sql(m: str) -> str:
 @register("length_describe", S.with_corpus(_describe_sql("n_chars") + "\nUNION ALL\n" + _describe_sql("n_tokens"),
                                            _LENS_ALL))
 def length_describe(spark, sf):
-    return pr.length_describe(pr.lengths(labelled(spark, sf)))
+    return pr.length_describe(pr.lengths(corpus(spark, sf)))
 
 
 @register("length_histogram", S.with_corpus("""
@@ -109,7 +110,7 @@ LEFT JOIN (SELECT CAST(least(floor((n_tokens - mn) * 60 / greatest(mx - mn, 1))
                   count(*) AS n FROM lens, mm GROUP BY 1) c ON c.bin = g.bin""",
     _LENS_ALL + ",\nmm AS (SELECT min(n_tokens) AS mn, max(n_tokens) AS mx FROM lens)"))
 def length_histogram(spark, sf):
-    return pr.length_histogram(pr.lengths(labelled(spark, sf)))
+    return pr.length_histogram(pr.lengths(corpus(spark, sf)))
 
 
 @register("length_box_by_class", S.with_corpus("""
@@ -117,8 +118,8 @@ SELECT l.label, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS
   round(CAST(min(CASE WHEN n_tokens >= q1 - 1.5 * (q3 - q1) THEN n_tokens END) AS DOUBLE), 4) AS whisker_lo,
   round(CAST(max(CASE WHEN n_tokens <= q3 + 1.5 * (q3 - q1) THEN n_tokens END) AS DOUBLE), 4) AS whisker_hi,
   CAST(count_if(n_tokens < q1 - 1.5 * (q3 - q1) OR n_tokens > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS n_outliers
-FROM lens l JOIN (SELECT label, quantile_cont(n_tokens, 0.25) AS q1, quantile_cont(n_tokens, 0.5) AS median,
-                         quantile_cont(n_tokens, 0.75) AS q3 FROM lens GROUP BY label) q ON l.label = q.label
+FROM lens_labelled l JOIN (SELECT label, quantile_cont(n_tokens, 0.25) AS q1, quantile_cont(n_tokens, 0.5) AS median,
+                         quantile_cont(n_tokens, 0.75) AS q3 FROM lens_labelled GROUP BY label) q ON l.label = q.label
 GROUP BY l.label, q1, median, q3""", _LENS_ALL))
 def length_box_by_class(spark, sf):
     return pr.length_box_by_class(pr.lengths(labelled(spark, sf)))
@@ -126,17 +127,17 @@ def length_box_by_class(spark, sf):
 
 @register("short_docs", S.with_corpus("""
 SELECT grp AS "group", n, round(n / (SELECT count(*) FROM lens), 6) AS share FROM (
-  SELECT CAST(label AS VARCHAR) AS grp, CAST(count_if(n_tokens <= 10) AS BIGINT) AS n FROM lens GROUP BY label
+  SELECT coalesce(CAST(label AS VARCHAR), 'null') AS grp, CAST(count_if(n_tokens <= 10) AS BIGINT) AS n FROM lens GROUP BY label
   UNION ALL SELECT 'all', CAST(count_if(n_tokens <= 10) AS BIGINT) FROM lens)""", _LENS_ALL))
 def short_docs(spark, sf):
-    return pr.short_docs(pr.lengths(labelled(spark, sf)))
+    return pr.short_docs(pr.lengths(corpus(spark, sf)))
 
 
 @register("longest_docs", S.with_corpus(f"""
 SELECT text_id, label, {S.token_count('title_text')} AS n_tokens, substr(title_text, 1, 200) || '...' AS preview
-FROM labelled ORDER BY n_tokens DESC, text_id LIMIT 5"""))
+FROM corpus ORDER BY n_tokens DESC, text_id LIMIT 5"""))
 def longest_docs(spark, sf):
-    return pr.longest_docs(labelled(spark, sf))
+    return pr.longest_docs(corpus(spark, sf))
 
 
 @register("placeholder_census", S.with_corpus("""
@@ -144,9 +145,9 @@ SELECT label,
   CAST(count_if(trim(regexp_replace(text, '^[\\t\\n\\x0B\\f\\r ]+|[\\t\\n\\x0B\\f\\r ]+$', '', 'g')) = '[removed]') AS BIGINT)
     AS n_removed,
   CAST(count_if(instr(text, '[deleted]') > 0) AS BIGINT) AS n_deleted
-FROM corpus GROUP BY label"""))
+FROM corpus GROUP BY label""", gaps=True))
 def placeholder_census(spark, sf):
-    return pr.placeholder_census(corpus(spark, sf))
+    return pr.placeholder_census(corpus(spark, sf, gaps=True))
 
 
 @register("duplicate_counts", S.with_corpus("""

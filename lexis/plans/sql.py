@@ -12,6 +12,12 @@ from lexis.functions import text as tx
 from lexis.sources import tables as tb
 
 
+# The references that occur in the stand-in posts and what they mean; &amp; last
+# so that "&amp;lt;" unescapes once, to "&lt;".
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#8217;", "’"), ("&#x2019;", "’"), ("&rsquo;", "’"),
+            ("&eacute;", "é"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
+
+
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -34,7 +40,7 @@ def normalize_quotes(e: str) -> str:
 def fix_encoding(e: str) -> str:
     e = _re(e, tx.CONTROL_CHARS_PATTERN, "")
     rep = _replace_all(e, tx.MOJIBAKE_REPAIRS)
-    rep = f"(CASE WHEN instr({rep}, '<') > 0 THEN {rep} ELSE {_replace_all(rep, tx.HTML_ENTITIES)} END)"
+    rep = f"(CASE WHEN instr({rep}, '<') > 0 THEN {rep} ELSE {_replace_all(rep, ENTITIES)} END)"
     rep = _replace_all(rep, tx.LIGATURES)
     e = f"(CASE WHEN regexp_matches({e}, {lit(tx.REPAIR_TRIGGER)}) THEN {rep} ELSE {e} END)"
     return f"translate({e}, {lit(tx.SINGLE_FROM)}, {lit(tx.SINGLE_TO)})"
@@ -89,20 +95,21 @@ def word_tokens(e: str) -> str:
     return f"regexp_extract_all(lower(coalesce({e}, '')), {lit(tx.WORD_TOKEN_PATTERN)})"
 
 
-def posts_cte() -> str:
+def posts_cte(gaps: bool = False) -> str:
+    removed = f"""WHEN d.doc_id % {tb.TEXT_MOD} = {tb.REMOVED_RESIDUE} THEN '[removed]'
+         WHEN d.doc_id % {tb.TEXT_MOD} = {tb.NULL_TEXT_RESIDUE} THEN NULL""" if gaps else ""
     dirt = "[" + ", ".join(lit(s) for s in tb.DIRT) + "]"
     return f"""posts AS (
   SELECT d.source AS user_id, d.doc_id AS text_id,
     CASE WHEN d.doc_id % {tb.TITLE_MOD} = {tb.NULL_TITLE_RESIDUE} THEN NULL ELSE d.lang END AS title,
-    CASE WHEN d.doc_id % {tb.TEXT_MOD} = {tb.REMOVED_RESIDUE} THEN '[removed]'
-         WHEN d.doc_id % {tb.TEXT_MOD} = {tb.NULL_TEXT_RESIDUE} THEN NULL
+    CASE WHEN false THEN NULL {removed}
          ELSE d.text || ({dirt})[d.doc_id % {len(tb.DIRT)} + 1] END AS text,
     CASE l.quality WHEN 1 THEN 'yes' WHEN 0 THEN 'no' END AS label_raw
   FROM documents d LEFT JOIN labels l USING (doc_id))"""
 
 
-def corpus_cte() -> str:
-    return posts_cte() + """,
+def corpus_cte(gaps: bool = False) -> str:
+    return posts_cte(gaps) + """,
 corpus AS (
   SELECT user_id, text_id, coalesce(title, '') AS title, coalesce(text, '') AS text,
     CASE coalesce(label_raw, '') WHEN 'yes' THEN 1 WHEN 'no' THEN 0 END AS label,
@@ -111,6 +118,6 @@ corpus AS (
 labelled AS (SELECT * FROM corpus WHERE label IS NOT NULL)"""
 
 
-def with_corpus(body: str, extra_ctes: str = "") -> str:
-    ctes = corpus_cte() + ("," + extra_ctes if extra_ctes else "")
+def with_corpus(body: str, extra_ctes: str = "", gaps: bool = False) -> str:
+    ctes = corpus_cte(gaps) + ("," + extra_ctes if extra_ctes else "")
     return f"WITH {ctes}\n{body}"

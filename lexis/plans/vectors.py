@@ -17,9 +17,8 @@ TOPK = TfidfConfig(max_features=2000)
 SUBLINEAR = TfidfConfig(ngram_range=(1, 2), min_df=2, max_df=0.95, sublinear_tf=True, max_features=5000)
 
 
-def clean_docs(spark, sf, labelled_only: bool = True):
-    df = corpus(spark, sf)
-    df = df.where("label IS NOT NULL") if labelled_only else df.where("label IS NULL")
+def clean_docs(spark, sf, where: str = "true"):
+    df = corpus(spark, sf).where(where)
     return df.select("text_id", "label", tx.clean_text("title_text").alias("clean"))
 
 
@@ -35,7 +34,7 @@ def _thr(v) -> str:
     return f"CAST({float(v)!r} AS DOUBLE)" if isinstance(v, int) else f"CAST({float(v)!r} AS DOUBLE) * n"
 
 
-def tfidf_ctes(cfg: TfidfConfig, fit: str = "labelled", apply: str | None = None) -> str:
+def tfidf_ctes(cfg: TfidfConfig, fit: str = "corpus", apply: str | None = None) -> str:
     """CTEs ``fit_tf, n, vocab, w`` for a config; ``apply`` names the corpus CTE to weight."""
     lo, hi = cfg.ngram_range
     limit = f"ORDER BY ttf DESC, term LIMIT {cfg.max_features}" if cfg.max_features else ""
@@ -63,14 +62,14 @@ weights AS (SELECT text_id, term, index, w / sqrt(sum(w * w) OVER (PARTITION BY
     return ctes
 
 
-def _fit(spark, sf, cfg):
-    return tf.fit_transform(clean_docs(spark, sf), "text_id", "clean", cfg)
+def _fit(spark, sf, cfg, where: str = "true"):
+    return tf.fit_transform(clean_docs(spark, sf, where), "text_id", "clean", cfg)
 
 
 @register("ngrams", S.with_corpus(f"""
 SELECT text_id, CAST(len(g) AS BIGINT) AS n_grams, md5(array_to_string(g, '|')) AS gram_digest FROM (
   SELECT text_id, {_grams_sql(1, 3)} AS g FROM (
-    SELECT text_id, {S.word_tokens(S.clean_text('title_text'))} AS w FROM labelled))"""))
+    SELECT text_id, {S.word_tokens(S.clean_text('title_text'))} AS w FROM corpus))"""))
 def ngrams(spark, sf):
     """1- to 3-grams per document (count and an md5 digest of the ordered sequence)."""
     toks = clean_docs(spark, sf).select("text_id", tx.word_tokens(F.col("clean")).alias("w"))
@@ -126,17 +125,26 @@ def tfidf_sublinear(spark, sf):
 
 @register("tfidf_transform", S.with_corpus(
     "SELECT text_id, term, index, round(tfidf, 6) AS tfidf FROM weights",
-    "unlabelled AS (SELECT * FROM corpus WHERE label IS NULL),\n" + tfidf_ctes(DEFAULT, apply="unlabelled")))
+    "unlabelled AS (SELECT * FROM corpus WHERE label IS NULL),\n" + tfidf_ctes(DEFAULT, fit="labelled", apply="unlabelled")))
 def tfidf_transform(spark, sf):
     """Vocabulary fitted on labelled documents applied to the unlabelled ones."""
-    vocab, _ = _fit(spark, sf, DEFAULT)
-    w = tf.transform(clean_docs(spark, sf, labelled_only=False), vocab, "text_id", "clean", DEFAULT)
+    vocab, _ = _fit(spark, sf, DEFAULT, "label IS NOT NULL")
+    w = tf.transform(clean_docs(spark, sf, "label IS NULL"), vocab, "text_id", "clean", DEFAULT)
     return w.select("text_id", "term", "index", F.round("tfidf", 6).alias("tfidf"))
 
 
-@register("tfidf_vectors")
+@register("tfidf_vectors", S.with_corpus("""
+SELECT c.text_id, c.label, CAST((SELECT count(*) FROM vocab) AS BIGINT) AS size, w.index, round(w.tfidf, 6) AS value
+FROM corpus c LEFT JOIN weights w ON c.text_id = w.text_id""", tfidf_ctes(DEFAULT)))
 def tfidf_vectors(spark, sf):
-    """Sparse vectors (alphabetical index) per labelled document; rows-only check."""
+    """Sparse vectors (alphabetical index) of every document, one row per entry
+    (a zero vector is one row without entry)."""
     docs = clean_docs(spark, sf)
     vocab, w = tf.fit_transform(docs, "text_id", "clean", DEFAULT)
-    return tf.to_vectors(docs.select("text_id", "label"), w, "text_id", vocab.count())
+    v = tf.to_vectors(docs.select("text_id", "label"), w, "text_id", vocab.count())
+    parts = F.from_json(F.to_json(F.struct(F.unwrap_udt("features").alias("f"))),
+                        "f struct<size:long,indices:array<int>,values:array<double>>")["f"]
+    v = v.withColumn("_p", parts)
+    return v.select("text_id", "label", F.col("_p.size").alias("size"),
+                    F.explode_outer(F.arrays_zip("_p.indices", "_p.values")).alias("_e")).select(
+        "text_id", "label", "size", F.col("_e.indices").alias("index"), F.round("_e.values", 6).alias("value"))

@@ -82,7 +82,7 @@ def main(argv=None) -> int:
     ap.add_argument("keys", nargs="*")
     args = ap.parse_args(argv)
     from lexis.session import build_session
-    spark = build_session()
+    spark = build_session(master=os.environ.get("LEXIS_MASTER", "local[8]"))
     load_all()
     con = duck(args.sf)
     keys = args.keys or sorted(QUERIES)

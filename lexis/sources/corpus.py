@@ -26,9 +26,9 @@ def ingest_frame(df: DataFrame, text_columns: list[str] | None = TEXT_COLUMNS,
     return out
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+def corpus(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
     """``user_id, text_id, title, text, label, title_text`` over every document."""
-    return ingest_frame(posts(spark, sf_dir))
+    return ingest_frame(posts(spark, sf_dir, gaps))
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
