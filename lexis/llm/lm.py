@@ -37,8 +37,8 @@ from lexis.llm.blobs import load, save
 from lexis.llm.words import LOWER, U64, Words, column, mix, text_slices
 from lexis.session import materialize, shared_path
 
-BUFFER = 1_000_000
-BYTES_PER_SHARD = 32_000_000
+BUFFER = 500_000
+BYTES_PER_SHARD = 24_000_000
 END, BEGIN = U64(0x0E0D_0E0D_0E0D_0E0D), U64(0xBE61_BE61_BE61_BE61)
 SHORT = U64(24)  # the upper 40 bits name a word inside a pair
 _PACK = "shard int, words binary, counts binary"
