@@ -44,12 +44,12 @@ PROBES = 3
 
 
 def _minhash(hashes: np.ndarray, j: int) -> np.ndarray:
-    times, flip = np.random.default_rng(977 + j).integers(0, 2**63, 2, dtype=np.uint64)
-    return (hashes ^ flip) * (times * U64(2) + U64(1))
+    times, flip = (int(x) for x in np.random.default_rng(977 + j).integers(0, 2**63, 2, dtype=np.uint64))
+    return (hashes ^ U64(flip)) * U64((2 * times + 1) % (1 << 64))
 
 
 def _name(value: np.ndarray, j: int, size_class: int) -> np.ndarray:
-    return mix(value + U64(j * 64 + size_class + 1) * U64(0x9E3779B97F4A7C15))
+    return mix(value + U64((j * 64 + size_class + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
 
 
 class Bloom:

@@ -75,9 +75,9 @@ def signatures(sets: list[np.ndarray], places: int) -> np.ndarray:
     rng = np.random.default_rng(2014)
     out = np.empty((len(sets), places), dtype=np.uint16)
     for j in range(places):
-        times, flip = rng.integers(0, 2**63, 2, dtype=np.uint64)
+        times, flip = (int(x) for x in rng.integers(0, 2**63, 2, dtype=np.uint64))
         if len(flat):
-            out[:, j] = mix(np.minimum.reduceat((flat ^ flip) * (times * U64(2) + U64(1)), begin)) & U64(0xFFFF)
+            out[:, j] = mix(np.minimum.reduceat((flat ^ U64(flip)) * U64((2 * times + 1) % (1 << 64)), begin)) & U64(0xFFFF)
     return out
 
 
