@@ -4,12 +4,12 @@ The page is read into a tree of block elements (inline markup only contributes
 its text; links are counted).  Elements that are page furniture by their tag,
 role, or the words of their class and id are left out first.  For every node
 
-    density = C / T * log_b(C * T_links / (C_links * T))   with
+    density = C / T * ln(C / C_links * T / T_links) / b   with
     b = ln(C / (C - C_links) * C_links + C_links(body) / C(body) * C + e)
 
 where C counts characters and T tags of its subtree: characters per tag,
-adjusted for links.  A node's density sum adds its children's densities (own
-text counts as one child).  The subtree with the largest sum is the main text;
+adjusted for links (an absent link counts as one).  A node's density sum adds
+its children's densities; text between them counts as one child.  The subtree with the largest sum is the main text;
 the smallest density on the path from the body to it is the threshold below
 which no side branch is considered.  If the subtree lies in an ``article`` or
 ``main`` element, or in the ``div`` or ``section`` that names itself so, that
@@ -185,14 +185,21 @@ def _measure(nodes: list[Node]) -> None:
                 node.link_chars += part.link_chars
                 node.links += part.links
         node.chars += own
-        node.total = float(own)
+        node.total = own
     share = body.link_chars / body.chars if body.chars else 0.0
+
+    def density(chars: int, tags: int, link_chars: int, links: int) -> float:
+        if not chars:
+            return 0.0
+        base = math.log(chars / max(chars - link_chars, 1) * link_chars + share * chars + math.e)
+        return chars / tags * math.log(max(chars / max(link_chars, 1) * tags / max(links, 1), 1.0)) / max(base, 1.0)
+
     for node in nodes:
-        c, t, lc = node.chars, node.tags + node.links, node.link_chars
-        if c:
-            base = math.log(c / max(c - lc, 1) * lc + share * c + math.e)
-            ratio = c / max(lc, 1) * t / max(node.links, 1)
-            node.density = c / t * math.log(max(ratio, 1.0)) / math.log(max(base, 1.0 + 1e-9)) if base > 1.0 else c / t * math.log(max(ratio, 1.0))
+        node.density = density(node.chars, node.tags + node.links, node.link_chars, node.links)
+        parts = any(isinstance(p, Node) and not p.drop for p in node.parts)
+        # text between blocks counts as a child; a block without blocks inside just
+        # misses its own density, so a parent with anything else wins over it
+        node.total = density(node.total, 1, 0, 0) if parts else 0.99 * node.density
     for node in nodes[1:]:
         node.parent.total += node.density
 
