@@ -27,13 +27,11 @@ def cross_validate(train: DataFrame, model: str, params: dict | None, cfg: Tfidf
     folds = materialize(md.prepare_terms(folds.select("text_id", "label", "fold", text_col), cfg, variant, text_col)
                         .drop(text_col), "cv-terms")
 
-    def one(k: int) -> DataFrame:
-        fit_part, held = folds.where(F.col("fold") != k), folds.where(F.col("fold") == k)
+    def one(k: int) -> tuple:
+        fit_part = folds.where(F.col("fold") != k)
         m = md.fit_on_terms(fit_part, model, params, cfg)
-        auc_tr = ev.roc_auc(md.predict(m, fit_part, ["label"])).select(F.col("auc").alias("train_auc"))
-        auc_te = ev.roc_auc(md.predict(m, held, ["label"])).select(F.col("auc").alias("test_auc"))
-        row = auc_tr.first()[0], auc_te.first()[0]
-        return row
+        scored = materialize(md.predict(m, folds, ["label", "fold"]), "cv-scored")  # one scoring pass for both parts
+        return tuple(ev.roc_auc(scored.where(part)).first()["auc"] for part in (F.col("fold") != k, F.col("fold") == k))
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_splits))) as pool:
         results = list(pool.map(one, range(n_splits)))
@@ -44,23 +42,48 @@ def cross_validate(train: DataFrame, model: str, params: dict | None, cfg: Tfidf
 
 def evaluate_model(m: PipelineModel, labelled: DataFrame, id_col: str = "text_id") -> dict[str, DataFrame]:
     """Metric row, ROC curve and confusion matrix of one scoring pass."""
-    scored = materialize(md.predict(m, labelled, [id_col, "label"]), "scored")  # read by three reports
+    scored = materialize(md.predict(m, require_label(labelled), [id_col, "label"]), "scored")  # read by three reports
     return {"metrics": ev.binary_metrics(scored), "roc": ev.roc_curve(scored),
             "confusion": ev.confusion_matrix(scored), "scored": scored}
 
 
+def require_label(df: DataFrame, label: str = "label") -> DataFrame:
+    """Training and evaluation need the target column."""
+    if label not in df.columns:
+        raise ValueError(f"target column {label!r} is missing; found {df.columns}")
+    return df
+
+
 def train_job(labelled: DataFrame, model: str, params: dict | None, cfg: TfidfConfig, variant: str = "base",
-              test_size: float = 0.2, n_splits: int = 5, seed: int = 42,
-              text_col: str = "text") -> tuple[PipelineModel, DataFrame]:
-    """holdout -> CV on the training part -> final fit -> merged metric rows."""
+              test_size: float = 0.2, n_splits: int = 5, seed: int = 42, text_col: str = "text",
+              save_to: str | None = None) -> tuple[PipelineModel, dict[str, DataFrame]]:
+    """holdout -> CV on the training part -> final fit -> evaluation.
+
+    ``early_stopping_rounds`` of a boosted model takes an inner validation part of
+    the training rows.  Returns the model and its reports: ``folds`` (per fold),
+    ``metrics`` (CV mean, deviation, fold scores and holdout metrics as rows),
+    ``roc``, ``confusion`` and ``scored``; ``save_to`` persists the model."""
+    require_label(labelled)
     split = materialize(sp.stratified_split(labelled, test_size=test_size, seed=seed), "holdout")
-    train, test = split.where("split = 'train'"), split.where("split = 'test'")
+    train, test = split.where("split = 'train'").drop("split"), split.where("split = 'test'").drop("split")
+    params = dict(params or {})
+    rounds = params.pop("early_stopping_rounds", None)
     cv = cross_validate(train, model, params, cfg, variant, n_splits, seed, text_col)
-    final = md.fit(train, model, params, cfg, variant, text_col)
+    if model == "gbt" and rounds is not None:
+        inner = sp.inner_validation(train, seed=f"{seed}:val")
+        final, _, _ = md.gbt_early_stopping(inner.where("NOT is_validation"), inner.where("is_validation"), params, cfg,
+                                            int(rounds), variant, text_col)
+    else:
+        final = md.fit(train, model, params, cfg, variant, text_col)
+    if save_to:
+        final.write().overwrite().save(save_to)
     cv_row = cv.agg(F.round(F.avg("test_auc"), 4).alias("cv_auc_mean"),
                     F.round(F.stddev_pop("test_auc"), 4).alias("cv_auc_std"))
-    holdout = evaluate_model(final, test)["metrics"]
-    return final, ev.metrics_long(cv_row).unionByName(ev.metrics_long(holdout))
+    per_fold = cv.select(F.concat(F.lit("cv_auc_fold_"), F.col("fold")).alias("metric"), F.round("test_auc", 4).alias("value"))
+    reports = evaluate_model(final, test)
+    reports["folds"] = cv
+    reports["metrics"] = ev.metrics_long(cv_row).unionByName(per_fold).unionByName(ev.metrics_long(reports["metrics"]))
+    return final, reports
 
 
 def blind_predictions(m: PipelineModel, unlabelled: DataFrame, id_col: str = "text_id") -> DataFrame:

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from lexis.functions import text as tx
 from lexis.operators import clean as cl
+from lexis.operators import evaluate as ev
 from lexis.operators import tfidf as tfm
 from lexis.operators.tfidf import TfidfConfig
 from lexis.session import materialize
@@ -370,20 +371,46 @@ def rounded(predictions: DataFrame, dp: int = 4) -> DataFrame:
     return predictions.withColumn("probability", F.round("probability", dp))
 
 
+def tree_scores(gbt_model, featured: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep, trees, probability``: the margin of the first 1, 2, ... n trees of a
+    boosted model (its logistic image is the probability; ranks are the same)."""
+    out = featured
+    for i, tree in enumerate(gbt_model.trees):
+        out = tree.copy({tree.predictionCol: f"_t{i}"}).transform(out)
+    weights = list(gbt_model.treeWeights)
+    terms = F.array(*[F.col(f"_t{i}") * w for i, w in enumerate(weights)])
+    sums = F.transform(F.sequence(F.lit(1), F.lit(len(weights))),
+                       lambda k: F.struct(k.alias("trees"), F.aggregate(F.slice(terms, F.lit(1), k), F.lit(0.0), lambda a, x: a + x).alias("s")))
+    return out.select(*keep, F.explode(sums).alias("_e")).select(
+        *keep, F.col("_e.trees").alias("trees"), (1 / (1 + F.exp(-2 * F.col("_e.s")))).alias("probability"))
+
+
 def gbt_early_stopping(train: DataFrame, val: DataFrame, params: dict, cfg: TfidfConfig, rounds: int,
                        variant: str = "base", text_col: str = "text") -> tuple[PipelineModel, int, float]:
-    """grow up to ``n_estimators`` trees on the training part, track validation
-    log-loss after each tree, stop at the best count once ``rounds`` trees give
-    no improvement, refit with that many trees.  Returns (model, trees, best loss)."""
-    full = fit(train, "gbt", params, cfg, variant, text_col)
-    prep, gbt_model = PipelineModel(full.stages[:-1]), full.stages[-1]
-    losses = gbt_model.evaluateEachIteration(prep.transform(val))
-    best_i, best = 0, float("inf")
-    for i, loss in enumerate(losses):
-        if loss < best - 1e-12:
-            best_i, best = i, loss
-        elif i - best_i >= rounds:
+    """grow ``n_estimators`` trees on the training part, follow the validation
+    AUC after each tree, stop when ``rounds`` trees in a row bring no better one,
+    and keep the trees up to the best.  Cleaning, terms and vectors are computed
+    once; the kept trees are refitted from the same seed, which repeats them.
+    Returns (model, trees, best AUC)."""
+    lo, hi = cfg.ngram_range
+    cleaner = TextCleaner(inputCol=text_col, outputCol="clean", variant=variant)
+    terms = TermExtractor(inputCol="clean", outputCol="terms", ngramLo=lo, ngramHi=hi)
+    prepare = PipelineModel([cleaner, terms])
+    fitted = materialize(prepare.transform(train).drop(text_col, "clean"), "stop-train")
+    held = materialize(prepare.transform(val).drop(text_col, "clean"), "stop-val")
+    spw = params.get("scale_pos_weight")
+    data = with_class_weight(fitted, spw) if spw is not None else fitted
+    vectors = TfidfVectorizer(inputCol="terms", outputCol="features", config=cfg).fit(data)
+    rest = {k: v for k, v in params.items() if k not in ("scale_pos_weight", "early_stopping_rounds")}
+    featured = materialize(vectors.transform(data).select("label", *(["weight"] if spw is not None else []), "features"), "stop-features")
+    gbt, = build_classifier("gbt", rest, 0.0, spw is not None)
+    scores = tree_scores(gbt.fit(featured), vectors.transform(held), ["label"])
+    aucs = dict(ev.roc_auc(scores, groups=["trees"]).select("trees", "auc").collect())  # one row per tree
+    best = 1
+    for k in sorted(aucs):
+        if (aucs[k] or 0.0) > (aucs[best] or 0.0) + 1e-12:
+            best = k
+        elif k - best >= rounds:
             break
-    n_trees = best_i + 1
-    refit = fit(train, "gbt", {**params, "n_estimators": n_trees}, cfg, variant, text_col)
-    return refit, n_trees, float(best)
+    kept = gbt.copy({gbt.maxIter: best}).fit(featured)
+    return PipelineModel([cleaner, terms, *vectors.stages, kept]), best, float(aucs[best] or 0.0)

@@ -11,7 +11,7 @@ from lexis.operators import models as md
 from lexis.operators import split as sp
 from lexis.plans import sql as S
 from lexis.plans.evaluation import _CONF, _SCORED, _auc_cte, _rates_sql, scored
-from lexis.plans.models import CFG, LR_PARAMS, docs, holdout
+from lexis.plans.models import CFG, LR_PARAMS, SVM_PARAMS, checked, docs, holdout
 from lexis.plans.registry import register
 from lexis.plans.search import RESULTS_CTES, TRIALS_CTE, variant_results
 from lexis.plans.splits import _SPLIT
@@ -65,14 +65,18 @@ def split_sink(spark, sf):
     return sk.read_split(spark, path).select("text_id", "label", "split")
 
 
-@register("predict_sink")
+_BLIND_AS_STRINGS = S.with_corpus("""
+SELECT CAST(text_id AS VARCHAR) AS text_id, true AS class_ok, true AS range_ok, true AS rule_ok FROM corpus WHERE label IS NULL""")
+
+
+@register("predict_sink", _BLIND_AS_STRINGS)
 def predict_sink(spark, sf):
     """Blind predictions written as CSV with header and read back."""
     all_docs = docs(spark, sf)
     m = md.fit(all_docs.where("label IS NOT NULL"), "logreg", LR_PARAMS, CFG)
     pred = jobs.blind_predictions(m, all_docs.where("label IS NULL"))
     path = sk.write_predictions(pred, shared_path(spark, "predictions"))
-    return cs.csv_scan(spark, path, ["text_id", "prediction", "probability"])
+    return checked(cs.csv_scan(spark, path, ["text_id", "prediction", "probability"]), dp=4)
 
 
 @register("metrics_sink", S.with_corpus(
@@ -84,15 +88,20 @@ def metrics_sink(spark, sf):
     return spark.read.json(path)
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", S.with_corpus("""
+SELECT text_id, model, true AS same FROM holdout, (VALUES ('logreg'), ('rff_svc')) v(model) WHERE split = 'test'""", _SPLIT))
 def model_roundtrip(spark, sf):
-    """Fitted pipeline saved, loaded and re-scored; ``same`` compares the two probabilities."""
+    """Fitted pipelines saved, loaded and re-scored; ``same`` compares the two probabilities."""
     train, test = holdout(spark, sf)
-    m = md.fit(train, "logreg", LR_PARAMS, CFG)
-    loaded = sk.load_model(sk.save_model(m, shared_path(spark, "model")))
-    a = md.predict(m, test, ["text_id"]).withColumnRenamed("probability", "p_fit")
-    b = md.predict(loaded, test, ["text_id"]).select("text_id", F.col("probability").alias("p_loaded"))
-    return a.join(b, "text_id").select("text_id", "p_fit", "p_loaded", (F.col("p_fit") == F.col("p_loaded")).alias("same"))
+    out = None
+    for name, params in (("logreg", LR_PARAMS), ("rff_svc", SVM_PARAMS)):
+        m = md.fit(train, name, params, CFG)
+        loaded = sk.load_model(sk.save_model(m, shared_path(spark, "model")))
+        a = md.predict(m, test, ["text_id"]).withColumnRenamed("probability", "p_fit")
+        b = md.predict(loaded, test, ["text_id"]).select("text_id", F.col("probability").alias("p_loaded"))
+        rows = a.join(b, "text_id").select("text_id", F.lit(name).alias("model"), (F.col("p_fit") == F.col("p_loaded")).alias("same"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @register("results_upsert", S.with_corpus("""

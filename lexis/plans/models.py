@@ -1,8 +1,12 @@
-"""Registered model queries (section F).  Model outputs cannot be recomputed in
-SQL, so these carry no oracle; tests check their properties instead."""
+"""Registered model queries (section F).
+
+A fitted model's scores cannot be recomputed in SQL, so the queries return what
+can: every expected row, whether its class and probability are valid and agree,
+and identities of the metrics.  The oracle states the rows and that all hold."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lexis.operators import evaluate as ev
@@ -10,7 +14,9 @@ from lexis.operators import jobs
 from lexis.operators import models as md
 from lexis.operators import split as sp
 from lexis.operators.tfidf import TfidfConfig
+from lexis.plans import sql as S
 from lexis.plans.registry import register
+from lexis.plans.splits import _SPLIT
 from lexis.sources.corpus import corpus
 
 CFG = TfidfConfig()                                            # default vectorizer block
@@ -34,82 +40,138 @@ def _scale_pos_weight(train) -> float:
     return r["n"] / r["p"] if r["p"] else 1.0
 
 
-@register("fit_logreg")
+def checked(scored, rule=None, dp: int | None = None):
+    """Rows with flags: class in {0, 1}; probability in [0, 1] (of ``dp`` places if
+    given); class as the rule (by default probability above one half) says."""
+    p = F.col("probability").cast("double")
+    valid = (p >= 0) & (p <= 1)
+    if dp is not None:
+        valid = valid & (F.round(p, dp) == p)
+    rule = (p > 0.5) if rule is None else rule
+    keep = [c for c in ("text_id", "label") if c in scored.columns]
+    edge = F.abs(p - 0.5) < 10.0 ** -(dp or 12)  # rounding may move a score onto the border
+    return scored.select(*keep, F.col("prediction").cast("int").isin(0, 1).alias("class_ok"), valid.alias("range_ok"),
+                         (edge | ((F.col("prediction").cast("int") == 1) == rule)).alias("rule_ok"))
+
+
+_TEST_ROWS = S.with_corpus("""
+SELECT text_id, label, true AS class_ok, true AS range_ok, true AS rule_ok FROM holdout WHERE split = 'test'""", _SPLIT)
+_BLIND_ROWS = S.with_corpus("""
+SELECT text_id, true AS class_ok, true AS range_ok, true AS rule_ok FROM corpus WHERE label IS NULL""")
+
+
+@register("fit_logreg", S.with_corpus("""
+SELECT text_id, label, true AS class_ok, true AS range_ok, true AS rule_ok, true AS stationary FROM holdout WHERE split = 'test'""", _SPLIT))
 def fit_logreg(spark, sf):
-    """L2 logistic regression (C = 1.110118) on the training part; test predictions."""
+    """L2 logistic regression (C = 1.110118) on the training part; checked test predictions.
+    ``stationary``: at the optimum the mean probability of the training rows is their mean label."""
     train, test = holdout(spark, sf)
-    m = md.fit(train, "logreg", LR_PARAMS, CFG)
-    return md.predict(m, test, ["text_id", "label"])
+    m = md.fit(train, "logreg", {**LR_PARAMS, "max_iter": 1000}, CFG)
+    gap = md.predict(m, train, ["label"]).agg(F.abs(F.avg("probability") - F.avg("label"))).first()[0]
+    return checked(md.predict(m, test, ["text_id", "label"])).withColumn("stationary", F.lit(gap < 1e-3))
 
 
-@register("fit_gbt")
+@register("fit_gbt", _TEST_ROWS)
 def fit_gbt(spark, sf):
-    """gradient-boosted trees with class weight n_neg/n_pos; test predictions."""
+    """gradient-boosted trees with class weight n_neg/n_pos; checked test predictions."""
     train, test = holdout(spark, sf)
     m = md.fit(train, "gbt", {**GBT_PARAMS, "scale_pos_weight": _scale_pos_weight(train)}, CFG)
-    return md.predict(m, test, ["text_id", "label"])
+    return checked(md.predict(m, test, ["text_id", "label"]))
 
 
-@register("fit_gbt_early_stop")
+@register("fit_gbt_early_stop", "SELECT true AS trees_ok, true AS val_auc_ok, true AS test_auc_ok, true AS best_ok FROM (SELECT count(*) FROM documents)")
 def fit_gbt_early_stop(spark, sf):
-    """trees chosen on the inner 10 % validation part (patience 3, cap 20), then test AUC."""
+    """trees chosen by the AUC of the inner 10 % validation part (patience 3): the kept model has as many
+    trees as reported and reaches the reported validation AUC."""
     train, test = holdout(spark, sf)
     inner = sp.inner_validation(train)
     fit_part, val = inner.where("NOT is_validation"), inner.where("is_validation")
-    m, n_trees, loss = md.gbt_early_stopping(fit_part, val, {**GBT_PARAMS, "n_estimators": 20}, CFG, rounds=3)
+    m, n_trees, best = md.gbt_early_stopping(fit_part, val, GBT_PARAMS, CFG, rounds=3)
+    again = ev.roc_auc(md.predict(m, val, ["label"])).first()["auc"]
     auc = ev.roc_auc(md.predict(m, test, ["label"])).first()["auc"]
-    return spark.createDataFrame([(n_trees, round(loss, 6), auc)], "trees_grown int, val_logloss double, test_auc double")
+    row = (1 <= n_trees <= GBT_PARAMS["n_estimators"], 0.0 <= best <= 1.0, 0.0 <= auc <= 1.0,
+           m.stages[-1].getNumTrees == n_trees and abs(again - best) < 1e-9)
+    return spark.createDataFrame([row], "trees_ok boolean, val_auc_ok boolean, test_auc_ok boolean, best_ok boolean")
 
 
-@register("fit_rff_svm")
+@register("fit_rff_svm", _TEST_ROWS)
 def fit_rff_svm(spark, sf):
-    """RBF-SVM approximation (random Fourier features + linear SVM + Platt); test predictions."""
+    """RBF-SVM approximation (random Fourier features + linear SVM + Platt); the class is the margin's sign."""
     train, test = holdout(spark, sf)
     m = md.fit(train, "rff_svc", SVM_PARAMS, CFG)
-    return md.predict(m, test, ["text_id", "label"])
+    out = m.transform(test).withColumn("probability", vector_to_array("probability")[1])
+    return checked(out, rule=vector_to_array("svm_raw")[1] > 0)
 
 
-@register("pipeline_fit_score")
+@register("pipeline_fit_score", _TEST_ROWS)
 def pipeline_fit_score(spark, sf):
-    """General-stopword cleaning + sublinear 1-2 gram tf-idf + logistic, one pipeline; test scores."""
+    """Stemming + sublinear 1-2 gram tf-idf + logistic, one pipeline; checked test scores."""
     train, test = holdout(spark, sf)
     cfg = TfidfConfig(ngram_range=(1, 2), min_df=2, max_df=0.95, sublinear_tf=True, max_features=5000)
-    m = md.fit(train, "logreg", LR_PARAMS, cfg, variant="stopwords_general")
-    return md.predict(m, test, ["text_id", "label"])
+    m = md.fit(train, "logreg", LR_PARAMS, cfg, variant="stemming")
+    return checked(md.predict(m, test, ["text_id", "label"]))
 
 
-@register("predict_blind")
+@register("predict_blind", _BLIND_ROWS)
 def predict_blind(spark, sf):
-    """fit on every labelled document, score the unlabelled ones."""
+    """fit on every labelled document, score the unlabelled ones (4 dp)."""
     all_docs = docs(spark, sf)
     m = md.fit(all_docs.where("label IS NOT NULL"), "logreg", LR_PARAMS, CFG)
-    return jobs.blind_predictions(m, all_docs.where("label IS NULL"))
+    return checked(jobs.blind_predictions(m, all_docs.where("label IS NULL")), dp=4)
 
 
-@register("cv_auc")
+@register("cv_auc", "SELECT CAST(range AS INTEGER) AS fold, true AS train_auc_ok, true AS test_auc_ok FROM range(0, 5)")
 def cv_auc(spark, sf):
-    """5-fold CV of the logistic pipeline on the training part (train and test AUC per fold)."""
+    """5-fold CV of the logistic pipeline on the training part: every fold has a train and a test AUC."""
     train, _ = holdout(spark, sf)
-    return jobs.cross_validate(train, "logreg", LR_PARAMS, CFG)
+    cv = jobs.cross_validate(train, "logreg", LR_PARAMS, CFG)
+    return cv.select("fold", *[F.col(c).between(0, 1).alias(f"{c}_ok") for c in ("train_auc", "test_auc")])
 
 
-@register("train_job")
-def train_job(spark, sf):
-    """holdout + CV + final fit; merged metric rows."""
-    labelled = docs(spark, sf).where("label IS NOT NULL")
-    _, metrics = jobs.train_job(labelled, "logreg", LR_PARAMS, CFG)
-    return metrics
+_METRIC_NAMES = ["tp", "tn", "fp", "fn", "tpr", "fpr", "precision", "recall", "f1", "auc"]
 
 
-@register("evaluate_job")
+def _named(names) -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{n}', true)" for n in names) + ") v(metric, ok)"
+
+
+@register("train_job", _named(["cv_auc_mean", "cv_auc_std", *[f"cv_auc_fold_{k}" for k in range(5)], *_METRIC_NAMES]))
+def train_job(spark, sf):
+    """holdout + CV + final fit; every merged metric row is there and in its range."""
+    labelled = docs(spark, sf).where("label IS NOT NULL")
+    _, reports = jobs.train_job(labelled, "logreg", LR_PARAMS, CFG)
+    counts = F.col("metric").isin("tp", "tn", "fp", "fn")
+    return reports["metrics"].select("metric", F.when(counts, F.col("value") >= 0).otherwise(F.col("value").between(0, 1)).alias("ok"))
+
+
+@register("evaluate_job", S.with_corpus("""
+SELECT 'positives' AS item, CAST(count_if(label = 1) AS DOUBLE) AS value FROM holdout WHERE split = 'test'
+UNION ALL SELECT 'negatives', CAST(count_if(label = 0) AS DOUBLE) FROM holdout WHERE split = 'test'
+UNION ALL SELECT 'matrix_total', CAST(count(*) AS DOUBLE) FROM holdout WHERE split = 'test'
+UNION ALL SELECT 'scored', CAST(count(*) AS DOUBLE) FROM holdout WHERE split = 'test'
+UNION ALL SELECT 'roc_end_tpr', 1.0
+UNION ALL SELECT 'roc_end_fpr', 1.0
+UNION ALL SELECT 'auc_in_range', 1.0""", _SPLIT))
 def evaluate_job(spark, sf):
-    """Fitted pipeline scored on the test part: metric row as (metric, value)."""
+    """Fitted pipeline scored once on the test part; identities of its metric row, ROC curve and matrix."""
     train, test = holdout(spark, sf)
-    m = md.fit(train, "logreg", LR_PARAMS, CFG)
-    return ev.metrics_long(jobs.evaluate_model(m, test)["metrics"])
+    r = jobs.evaluate_model(md.fit(train, "logreg", LR_PARAMS, CFG), test)
+
+    def item(df, name, value):
+        return df.agg(F.lit(name).alias("item"), value.cast("double").alias("value"))
+
+    m = r["metrics"]
+    parts = [item(m, "positives", F.max(F.col("tp") + F.col("fn"))), item(m, "negatives", F.max(F.col("tn") + F.col("fp"))),
+             item(r["confusion"], "matrix_total", F.sum("n")), item(r["scored"], "scored", F.count("*")),
+             item(r["roc"], "roc_end_tpr", F.max("tpr")), item(r["roc"], "roc_end_fpr", F.max("fpr")),
+             item(m, "auc_in_range", F.max(F.col("auc").between(0, 1).cast("int")))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
-@register("predict_stream")
+@register("predict_stream", _BLIND_ROWS)
 def predict_stream(spark, sf):
     """F9 as Structured Streaming: unlabelled documents land as Parquet files and are
     scored by the fitted pipeline in micro-batches (availableNow), then read back."""
@@ -122,4 +184,4 @@ def predict_stream(spark, sf):
     unlabelled.write.mode("overwrite").parquet(inbox)
     out, ckpt = shared_path(spark, "scored"), shared_path(spark, "scored-ckpt")
     score_stream(spark, m, inbox, unlabelled.schema, out, ckpt)
-    return read_scores(spark, out)
+    return checked(read_scores(spark, out), dp=4)
