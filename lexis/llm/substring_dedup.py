@@ -11,7 +11,7 @@ the same document or another; windows are judged on the input.
    2^32 cells per shard kept sparsely, and shards grow with the corpus (about
    ``SHARD_BYTES`` of text each), so it overestimates 0.2 % of windows at every
    size and has no fixed width to outgrow.
-2. *Exact.*  Only windows estimated as repeated are grouped, by 128 bits of
+2. *Exact.*  Only windows estimated as repeated are grouped, by 96 bits of
    hash.  Nothing is lost: step 1 only drops windows that occur once.
 
 Skew: before a window is shipped it is combined within its task's buffer.  A
@@ -45,8 +45,8 @@ LOW = U64(0xFFFFFFFF)
 _ROW = "__row"
 _ASK = ("__shard int, rids binary, counts binary, first binary, second binary, places binary, "
         "heavy_first binary, heavy_second binary, known_rids binary, known_counts binary, known binary")
-_ANSWER = "__home int, runs int, rids binary, counts binary, items binary"
-_HINTS = f"{_ROW} long, __cells binary, __runs binary"
+_ANSWER = "__home int, shard int, rids binary, counts binary, items binary"
+_HINTS = f"{_ROW} long, __shards binary, __cells binary, __runs binary"
 
 
 def _to_runs(owner: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +130,7 @@ class _Buffer:
 def _windows(words, size: int, second: bool):
     """Per document of a slice: hashes (and second hashes) of its windows."""
     first = chain(words.hashes(0), size)
-    other = chain(words.hashes(1), size) if second else first
+    other = (chain(words.hashes(1), size) >> U64(32)).astype(np.uint32) if second else first
     at, _ = inside(words.counts, size)
     ends = np.cumsum(np.maximum(words.counts - size + 1, 0))
     first, other = (first[at], other[at]) if len(at) else (first[:0], other[:0])
@@ -157,11 +157,14 @@ def _ask_exact(size: int, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buffer = _Buffer(shards, exact=True)
         for batch in batches:
-            rows, cells, runs = column(batch, _ROW).to_numpy(), column(batch, "__cells"), column(batch, "__runs")
+            rows = column(batch, _ROW).to_numpy()
+            owners, cells, runs = (column(batch, n) for n in ("__shards", "__cells", "__runs"))
             for a, _, words in text_slices(batch):
                 for d, (first, second) in enumerate(_windows(words, size, True)):
                     cell = (((first >> U64(32)) % U64(shards)) << U64(32)) | (first & LOW)
-                    picked = np.isin(cell, np.frombuffer(cells[a + d].as_py(), np.uint64))
+                    shard, count = np.frombuffer(owners[a + d].as_py(), np.uint32).reshape(-1, 2).T
+                    flagged = np.repeat(shard.astype(np.uint64) << U64(32), count) | np.frombuffer(cells[a + d].as_py(), np.uint32)
+                    picked = _among(cell, np.sort(flagged))
                     for start, end in _run_bounds(runs[a + d].as_py()).tolist():
                         picked[start:end] = True
                     at = np.flatnonzero(picked)
@@ -181,24 +184,34 @@ def _owners(table: pa.Table, rids: str, counts: str) -> np.ndarray:
     return np.repeat(np.concatenate(_arrays(table, rids, np.int64)), np.concatenate(_arrays(table, counts, np.uint32)))
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted ``known``, a slice at a time."""
+    out = np.zeros(len(values), bool)
+    for a in range(0, len(values) if len(known) else 0, BUFFER):
+        part = values[a:a + BUFFER]
+        out[a:a + BUFFER] = known[np.minimum(np.searchsorted(known, part), len(known) - 1)] == part
+    return out
+
+
 def _homeward(homes: int, answers: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.Table:
-    """Packs ``(runs?, row key of each item, items)`` by the home of the row key."""
+    """Packs ``(shard, row key of each item, items)`` by the home of the row key:
+    cells of the shard, or runs with shard -1."""
     rows = []
-    for runs, rid, items in answers:
+    for shard, rid, items in answers:
         home = (rid.view(np.uint64) % U64(homes)).astype(np.int64)
         order = np.lexsort((rid, home))
         home, rid, items = home[order], rid[order], items[order]
         for h in np.unique(home).tolist():
             a, b = np.searchsorted(home, [h, h + 1])
             names, counts = np.unique(rid[a:b], return_counts=True)
-            rows.append((h, runs, names.tobytes(), counts.astype(np.uint32).tobytes(), items[a:b].tobytes()))
+            rows.append((h, shard, names.tobytes(), counts.astype(np.uint32).tobytes(), items[a:b].tobytes()))
     columns = list(zip(*rows)) or [()] * 5
     kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["__home", "runs", "rids", "counts", "items"])
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["__home", "shard", "rids", "counts", "items"])
 
 
 def _known(table: pa.Table):
-    return 1, _owners(table, "known_rids", "known_counts"), np.concatenate(_arrays(table, "known", np.uint64))
+    return -1, _owners(table, "known_rids", "known_counts"), np.concatenate(_arrays(table, "known", np.uint64))
 
 
 def _merge_sketch(homes: int):
@@ -210,9 +223,8 @@ def _merge_sketch(homes: int):
         heavy = np.concatenate(_arrays(table, "heavy_first", np.uint32))
         cells = np.sort(np.concatenate([asked, heavy, heavy]))
         full = cells[1:][cells[1:] == cells[:-1]]
-        flagged = np.flatnonzero(np.isin(asked, full))
-        return _homeward(homes, [_known(table), (0, _owners(table, "rids", "counts")[flagged],
-                                                 asked[flagged].astype(np.uint64) | U64(shard << 32))])
+        flagged = np.flatnonzero(_among(asked, full))
+        return _homeward(homes, [_known(table), (shard, _owners(table, "rids", "counts")[flagged], asked[flagged])])
     return run
 
 
@@ -221,8 +233,9 @@ def _merge_exact(homes: int):
     that occur more than once."""
     def run(table: pa.Table) -> pa.Table:
         first, second, places = (np.concatenate(_arrays(table, n, k)) for n, k in
-                                 (("first", np.uint64), ("second", np.uint64), ("places", np.uint32)))
-        strong_first, strong_second = (np.concatenate(_arrays(table, n, np.uint64)) for n in ("heavy_first", "heavy_second"))
+                                 (("first", np.uint64), ("second", np.uint32), ("places", np.uint32)))
+        strong_first = np.concatenate(_arrays(table, "heavy_first", np.uint64))
+        strong_second = np.concatenate(_arrays(table, "heavy_second", np.uint32))
         a, b = np.concatenate([first, strong_first, strong_first]), np.concatenate([second, strong_second, strong_second])
         order = np.lexsort((b, a))
         same = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
@@ -232,25 +245,33 @@ def _merge_exact(homes: int):
         flagged = np.flatnonzero(again[:len(first)])
         owner, places = _owners(table, "rids", "counts")[flagged], places[flagged]
         order = np.lexsort((places, owner))
-        return _homeward(homes, [_known(table), (1, *_to_runs(owner[order], places[order]))])
+        return _homeward(homes, [_known(table), (-1, *_to_runs(owner[order], places[order]))])
     return run
 
 
 def _gather(table: pa.Table) -> pa.Table:
     """One row per row key of a home: its flagged cells and its runs."""
-    parts, kind = {}, table.column("runs").to_numpy()
-    for runs in (0, 1):
-        part = table.filter(pa.array(kind == runs))
-        rid = _owners(part, "rids", "counts") if part.num_rows else np.empty(0, np.int64)
-        items = np.concatenate(_arrays(part, "items", np.uint64)) if part.num_rows else np.empty(0, np.uint64)
-        order = np.argsort(rid, kind="stable")
-        parts[runs] = rid[order], items[order]
-    names = np.unique(np.concatenate([parts[0][0], parts[1][0]]))
-    packed = []
-    for rid, items in parts.values():
-        cuts = np.searchsorted(rid, names, "left"), np.searchsorted(rid, names, "right")
-        packed.append(pa.array([items[a:b].tobytes() for a, b in zip(*(c.tolist() for c in cuts))], pa.binary()))
-    return pa.table([pa.array(names, pa.int64()), *packed], names=[_ROW, "__cells", "__runs"])
+    shard = table.column("shard").to_numpy()
+    order = np.argsort(shard, kind="stable")
+    table, shard = table.take(pa.array(order)), shard[order]
+    rid = _owners(table, "rids", "counts")
+    names = np.unique(rid)
+    split = int(np.searchsorted(shard, 0))  # rows of runs come first
+    sizes = [int(np.frombuffer(c, np.uint32).sum()) for c in table.column("counts").to_pylist()]
+    cell_from = sum(sizes[:split])
+    packed = {}
+    for name, part, rows, kind in (("__runs", rid[:cell_from], table.slice(0, split), np.uint64),
+                                   ("__cells", rid[cell_from:], table.slice(split), np.uint32)):
+        items = np.concatenate([np.empty(0, kind), *_arrays(rows, "items", kind)])
+        by_row = np.argsort(part, kind="stable")  # within a row: by shard
+        part, items = part[by_row], items[by_row]
+        cuts = np.searchsorted(part, names, "left").tolist(), np.searchsorted(part, names, "right").tolist()
+        packed[name] = [items[a:b].tobytes() for a, b in zip(*cuts)]
+        if name == "__cells":
+            own = np.repeat(shard[split:], sizes[split:])[by_row].astype(np.uint32)
+            packed["__shards"] = [np.stack(np.unique(own[a:b], return_counts=True), axis=1).astype(np.uint32).tobytes() for a, b in zip(*cuts)]
+    return pa.table([pa.array(names, pa.int64()), *(pa.array(packed[n], pa.binary()) for n in ("__shards", "__cells", "__runs"))],
+                    names=[_ROW, "__shards", "__cells", "__runs"])
 
 
 def _cut(size: int, names: list[str]):
@@ -299,4 +320,4 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
     repeated = answers(keyed.join(estimated, _ROW).mapInArrow(_ask_exact(window, shards), _ASK), _merge_exact)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", n_words long, n_removed long, kept_text string"
-    return keyed.join(repeated, _ROW, "left").mapInArrow(_cut(window, names), schema)
+    return keyed.join(repeated.select(_ROW, "__runs"), _ROW, "left").mapInArrow(_cut(window, names), schema)
