@@ -23,29 +23,38 @@ from lexis.sources.corpus import labelled
 from lexis.sources.tables import POST_COLUMNS, posts
 
 
-def _posts_csv(spark, sf) -> str:
-    return cs.write_csv(posts(spark, sf), shared_path(spark, "posts-csv"))
+def _posts_csv(spark, sf, gaps: bool = False) -> str:
+    return cs.write_csv(posts(spark, sf, gaps), shared_path(spark, "posts-csv"))
 
 
-_POSTS_AS_STRINGS = "WITH " + S.posts_cte() + """
+_POSTS_AS_STRINGS = "WITH " + S.posts_cte(gaps=True) + """
 SELECT user_id, CAST(text_id AS VARCHAR) AS text_id, title, text, label_raw FROM posts"""
 
 
 @register("csv_scan", _POSTS_AS_STRINGS)
 def csv_scan(spark, sf):
     """A1: posts written as RFC-4180 CSV (multi-line texts) and scanned with a declared schema."""
-    return cs.csv_scan(spark, _posts_csv(spark, sf), POST_COLUMNS)
+    return cs.csv_scan(spark, _posts_csv(spark, sf, gaps=True), POST_COLUMNS)
 
 
 @register("schema_gate", """
-SELECT * FROM (VALUES ('exact', true), ('reordered', false), ('missing_column', false)) v(check_name, ok)""")
+SELECT * FROM (VALUES ('exact', true), ('reordered', false), ('missing_column', false), ('extra_column', false),
+                      ('mixed_folder', false)) v(check_name, ok)
+WHERE (SELECT count(*) FROM documents) > 0""")
 def schema_gate(spark, sf):
-    """A2: header-only gate on the written posts file: exact order passes, a reordered or shorter list fails."""
-    path = _posts_csv(spark, sf)
-    cases = [("exact", POST_COLUMNS), ("reordered", list(reversed(POST_COLUMNS))),
-             ("missing_column", POST_COLUMNS[:-1])]
-    return spark.createDataFrame([(n, cs.schema_validation(spark, path, c)) for n, c in cases],
-                                 "check_name string, ok boolean")
+    """A2: the gate on several written variants of the posts: exact, reordered, a column short, a column more,
+    and a folder in which one file's columns are swapped."""
+    p = posts(spark, sf, gaps=True)
+    turned = p.select(*reversed(POST_COLUMNS))
+    variants = {"exact": [p], "reordered": [turned], "missing_column": [p.select(POST_COLUMNS[:-1])],
+                "extra_column": [p.withColumn("extra", F.lit("x"))], "mixed_folder": [p, turned]}
+    rows = []
+    for name, parts in variants.items():
+        path = shared_path(spark, f"gate-{name}")
+        for part in parts:
+            cs.write_csv(part, path, mode="append")
+        rows.append((name, cs.schema_validation(spark, path, POST_COLUMNS)))
+    return spark.createDataFrame(rows, "check_name string, ok boolean")
 
 
 @register("ingest", S.with_corpus("""
@@ -118,11 +127,12 @@ def results_upsert(spark, sf):
 
 
 @register("trial_log_scan", f"""WITH {TRIALS_CTE}
-SELECT study, trial_id, state, value, min_df, max_df,
+SELECT study, row_number() OVER (ORDER BY trial_id, study) - 1 AS trial_id, state, value, min_df, max_df,
        CAST(epoch(started + to_seconds(0)) AS BIGINT) AS started_epoch FROM (
   SELECT *, TIMESTAMP '{tr.EPOCH}' + to_seconds(CAST(trial_id AS BIGINT)) AS started FROM trials)""")
 def trial_log_scan(spark, sf):
-    """A10: trials written as journal lines (create / start / param / finish) and scanned back."""
+    """A10: trials of several studies written as one journal (create / start / param / finish lines without
+    ids of their own) and scanned back; a trial's id is its start line's position."""
     path = tr.write_journal(tr.trial_rows(spark, sf), shared_path(spark, "journal"))
     t = tr.scan_journal(spark, path)
     return t.select("study", "trial_id", "state", "value", F.element_at("params", "min_df").alias("min_df"),
@@ -134,4 +144,4 @@ def trial_log_scan(spark, sf):
 def results_scan(spark, sf):
     """Consolidated results written as one keyed JSON object and scanned back to rows."""
     path = tr.write_results(variant_results(spark, sf), shared_path(spark, "results"))
-    return tr.scan_results(spark, path)
+    return tr.scan_results(spark, path).select("entry", "test_auc", "cv_auc")
