@@ -4,7 +4,7 @@ A trial's parameters are a pure function of ``(seed, study, trial_id, name)``
 through an md5 digest, so any engine regenerates the plan and a resumed run
 plans exactly the trials that are missing.  Completed trials live in a trial
 table (Parquet below the shared folder, one ``run_id`` partition per run —
-nothing is deleted).  Reports over the trial table are aggregates keyed by
+nothing is deleted: a fresh start is a new ``run_id``, a resume the old one).  Reports over the trial table are aggregates keyed by
 study; the per-study running best uses the bucketed running maximum so one
 large study is not one task.
 """
@@ -14,7 +14,12 @@ from __future__ import annotations
 import math
 import time
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
+from threading import Lock
 
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +27,7 @@ from lexis.operators.rank import bucketed_running_max
 
 HEX13 = float(16 ** 13)
 
-# Fixed search spaces (kind, low, high) or ("cat", choices).
+# Fixed values that must match: search spaces as (kind, low, high) or ("cat", choices).
 VECTORIZER_SPACE = {
     "ngram_idx": ("cat", [0, 1, 2]),          # -> ngram (1,1), (1,2), (1,3)
     "min_df": ("int", 1, 5),
@@ -37,6 +42,9 @@ GBT_SPACE = {
 }  # reg_alpha / reg_lambda have no MLlib counterpart and are not searched
 SVM_SPACE = {"C": ("logf", 0.01, 100.0), "gamma": ("logf", 1e-4, 1.0)}
 LR_SPACE = {"C": ("logf", 0.001, 100.0), "max_iter": ("int", 200, 2000)}
+MODEL_SPACES = {"gbt": GBT_SPACE, "rff_svc": SVM_SPACE, "logreg": LR_SPACE}
+DEFAULT_TRIALS = 30
+PLAN_CHUNK = 4096
 FLOAT_DP = 6
 
 
@@ -63,18 +71,22 @@ def suggest(spec, u: Column) -> Column:
 
 
 def trial_plan(studies: DataFrame, wanted: Column | int, space: dict, seed: str = "42") -> DataFrame:
-    """Trials 0..wanted-1 for every study row (``sequence`` + ``explode``, no join)."""
+    """Trials 0..wanted-1 for every study row, exploded in chunks so that no
+    row holds the whole plan of a large study."""
     w = F.lit(wanted) if isinstance(wanted, int) else wanted
-    plan = studies.select("study", F.explode(F.sequence(F.lit(0).cast("long"), w.cast("long") - 1)).alias("trial_id"))
+    chunks = studies.select("study", w.cast("long").alias("_w")).where("_w > 0").select(
+        "study", "_w", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_w") - 1) / PLAN_CHUNK))).alias("_c"))
+    first = F.col("_c") * PLAN_CHUNK
+    plan = chunks.select("study", F.explode(F.sequence(first, F.least(first + PLAN_CHUNK, F.col("_w")) - 1)).alias("trial_id"))
     return plan.select("study", "trial_id",
                        *[suggest(spec, uniform(seed, F.col("study"), F.col("trial_id"), name)).alias(name)
                          for name, spec in space.items()])
 
 
 def remaining(plan: DataFrame, trials: DataFrame) -> DataFrame:
-    """I8: planned trials without a completed row (failed ones are run again)."""
-    done = trials.where(F.col("state") == "complete").select("study", "trial_id")
-    return plan.join(done, ["study", "trial_id"], "left_anti")
+    """I8: planned trials without a recorded one.  A failed trial is recorded (with
+    value 0.0) and not run again: its parameters would be the same."""
+    return plan.join(trials.select("study", "trial_id").distinct(), ["study", "trial_id"], "left_anti")
 
 
 def best_trial(trials: DataFrame) -> DataFrame:
@@ -155,31 +167,47 @@ def stage_delta(before: DataFrame, after: DataFrame) -> DataFrame:
         "metric", "before", "after", F.round(F.col("after") - F.col("before"), 6).alias("delta"))
 
 
-def run_search(spark: SparkSession, pending: DataFrame, objective, table_path: str, run_id: str | None = None,
-               n_trials: int | None = None, timeout_sec: float | None = None) -> DataFrame:
-    """Evaluate pending trials in trial order until the
-    trial count or the time budget runs out (whichever first); each finished
-    trial is appended to the trial table under ``run_id``; a failing trial is
-    recorded with value 0.0.  The pending plan is small (one row per trial)."""
+TRIAL_SCHEMA = ("study string, trial_id long, state string, value double, params map<string,double>, "
+                "started timestamp, completed timestamp, run_id string")
+# What a bad parameter set raises; anything else (a lost cluster, a missing file) ends the search.
+TRIAL_ERRORS = (ValueError, ArithmeticError, IllegalArgumentException)
+
+
+def recorded(spark: SparkSession, table_path: str, run_id: str) -> DataFrame:
+    """Trials of one run, an empty table before the first."""
+    try:
+        return spark.read.schema(TRIAL_SCHEMA).parquet(table_path).where(F.col("run_id") == run_id)
+    except AnalysisException:
+        return spark.createDataFrame([], TRIAL_SCHEMA)
+
+
+def run_search(spark: SparkSession, plan: DataFrame, objective: Callable[[str, dict], float], table_path: str,
+               run_id: str | None = None, n_trials: int = DEFAULT_TRIALS, timeout_sec: float | None = None,
+               parallelism: int = 2) -> DataFrame:
+    """Evaluate ``objective(study, params)`` for the first ``n_trials``
+    planned trials of every study that ``run_id`` has not recorded yet (so a
+    stopped search resumes), a few at a time, until the time budget runs out.
+    Each finished trial is appended to the trial table; a trial whose
+    parameters fail counts as complete with value 0.0."""
     run_id = run_id or uuid.uuid4().hex[:8]
-    rows = pending.orderBy("study", "trial_id").limit(n_trials).collect() if n_trials else \
-        pending.orderBy("study", "trial_id").collect()
-    t0 = time.time()
-    for r in rows:
+    due = remaining(plan.where(F.col("trial_id") < n_trials), recorded(spark, table_path, run_id))
+    rows = due.orderBy("trial_id", "study").collect()  # at most n_trials per study
+    t0, writing = time.time(), Lock()
+
+    def one(row) -> None:
         if timeout_sec is not None and time.time() - t0 >= timeout_sec:
-            break
-        params = {k: v for k, v in r.asDict().items() if k not in ("study", "trial_id")}
-        started = time.time()
+            return
+        params = {k: v for k, v in row.asDict().items() if k not in ("study", "trial_id")}
+        started = datetime.now(timezone.utc)
         try:
-            value, state = float(objective(params)), "complete"
-        except Exception:  # the trial fails, the search goes on
-            value, state = 0.0, "failed"
-        rec = spark.createDataFrame(
-            [(r["study"], int(r["trial_id"]), state, value, {k: float(v) for k, v in params.items()},
-              started, time.time(), run_id)],
-            "study string, trial_id long, state string, value double, params map<string,double>, "
-            "t0 double, t1 double, run_id string")
-        rec = rec.select("study", "trial_id", "state", "value", "params", F.timestamp_seconds("t0").alias("started"),
-                         F.timestamp_seconds("t1").alias("completed"), "run_id")
-        rec.write.mode("append").partitionBy("run_id").parquet(table_path)
-    return spark.read.parquet(table_path)
+            value = float(objective(row["study"], params))
+        except TRIAL_ERRORS:
+            value = 0.0
+        rec = spark.createDataFrame([(row["study"], int(row["trial_id"]), "complete", value, {k: float(v) for k, v in params.items()},
+                                      started, datetime.now(timezone.utc), run_id)], TRIAL_SCHEMA)
+        with writing:  # appends to one folder must not overlap
+            rec.coalesce(1).write.mode("append").partitionBy("run_id").parquet(table_path)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        list(pool.map(one, rows))
+    return recorded(spark, table_path, run_id)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from lexis.functions import text as tx
 from lexis.operators import clean as cl
 from lexis.operators import evaluate as ev
-from lexis.operators import jobs
-from lexis.operators import models as md
 from lexis.operators import search as se
+from lexis.operators import search_jobs as sj
 from lexis.operators.tfidf import TfidfConfig
 from lexis.plans import sql as S
 from lexis.plans.cleaning import _drop_words_sql
@@ -23,7 +24,6 @@ from lexis.sources.corpus import labelled
 from lexis.sources.trials import trial_rows
 
 VARIANT_ORDER = ["base", "stopwords_general", "stopwords_curated", "stemming"]
-NGRAMS = [(1, 1), (1, 2), (1, 3)]
 
 # --------------------------------------------------------------------------- stand-in trial table (SQL side)
 TRIALS_CTE = """trials AS (
@@ -47,6 +47,8 @@ def _suggest_sql(name: str, spec) -> str:
     lo, hi = spec[1], spec[2]
     if spec[0] == "int":
         return f"CAST({lo} + floor({u} * {hi - lo + 1}) AS INTEGER)"
+    if spec[0] == "logf":
+        return f"round(exp(CAST({math.log(lo)!r} AS DOUBLE) + {u} * CAST({math.log(hi) - math.log(lo)!r} AS DOUBLE)), 8)"
     return f"round(CAST({float(lo)!r} AS DOUBLE) + {u} * CAST({hi - lo!r} AS DOUBLE), 6)"
 
 
@@ -67,16 +69,12 @@ def trial_plan(spark, sf):
 
 
 @register("trials_remaining", f"""WITH {TRIALS_CTE},
-plan AS (SELECT study, unnest(range(0, (SELECT count(*) FROM documents))) AS trial_id
-         FROM (SELECT DISTINCT study FROM trials))
+plan AS (SELECT study, unnest(range(0, n)) AS trial_id FROM (SELECT study, count(*) AS n FROM trials GROUP BY study))
 SELECT p.study, p.trial_id FROM plan p
-WHERE NOT EXISTS (SELECT 1 FROM trials t WHERE t.study = p.study AND t.trial_id = p.trial_id AND t.state = 'complete')""")
+WHERE NOT EXISTS (SELECT 1 FROM trials t WHERE t.study = p.study AND t.trial_id = p.trial_id)""")
 def trials_remaining(spark, sf):
-    """I8: with a wanted total of one trial per document id, the trials each study still has to run."""
-    trials = trial_rows(spark, sf)
-    wanted = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").count()
-    plan = se.trial_plan(trials.select("study").distinct(), wanted, {})
-    return se.remaining(plan, trials)
+    """I8: of as many planned trials as each study holds, those it has not recorded."""
+    return se.remaining(se.trial_plan(_studies(spark, sf), F.col("n"), {}), trial_rows(spark, sf))
 
 
 @register("best_trial", f"""WITH {TRIALS_CTE}
@@ -117,11 +115,11 @@ def config_overlay(spark, sf):
 
 # --------------------------------------------------------------------------- consolidated results stand-in
 def variant_scores(spark, sf):
-    """Per native variant, the length score of the cleaned text on each holdout part."""
+    """Per variant, the length score of the cleaned text on each holdout part."""
     base = labelled(spark, sf).select("text_id", "label", "title_text").join(
         _holdout(spark, sf).select("text_id", "split"), "text_id")
     parts = []
-    for v in ["base", "stopwords_general", "stopwords_curated"]:
+    for v in VARIANT_ORDER:
         c = cl.clean_frame(base, "title_text", v)
         parts.append(c.select(F.lit(v).alias("entry"), "split", "label",
                               F.least(F.lit(1.0), tx.token_count("title_text") / 500.0).alias("probability")))
@@ -153,6 +151,7 @@ vscores AS (
     {_tok_sql(_drop_words_sql(S.clean_text('title_text'), sw.general_without_negations()))} FROM vbase
   UNION ALL SELECT 'stopwords_curated', split, label,
     {_tok_sql(_drop_words_sql(S.clean_text('title_text'), sw.curated()))} FROM vbase
+  UNION ALL SELECT 'stemming', split, label, {_tok_sql(S.clean_text('title_text'))} FROM vbase  -- stemming keeps the token count
   UNION ALL SELECT 'chars_optimization', split, label, least(1.0, length(title_text) / 5000.0) FROM vbase),
 """ + _auc_cte("vscores", "vauc", "entry, split") + """,
 results AS (SELECT entry, round(max(CASE WHEN split = 'test' THEN auc END), 6) AS test_auc,
@@ -204,57 +203,77 @@ def stage_delta(spark, sf):
     return se.stage_delta(metrics("base"), metrics("stopwords_curated"))
 
 
-# --------------------------------------------------------------------------- real searches (rows-only)
-def _cv_objective(train, model, model_params, cfg_fn, n_splits=3):
-    def objective(params):
-        cfg = cfg_fn(params)
-        cv = jobs.cross_validate(train, model, model_params(params), cfg, n_splits=n_splits)
-        return cv.agg(F.avg("test_auc")).first()[0]
-    return objective
+# --------------------------------------------------------------------------- real searches
+# The registered searches run one trial per study with three folds: a full
+# search (30 trials, 5 folds, the defaults of ``search_jobs``) is hours of
+# fitting on any input and is a job, not a query.
+QUERY_TRIALS, QUERY_FOLDS = 1, 3
+
+
+def _seeded_sql(space: dict, studies: list[str]) -> str:
+    """The trials that a search must record: seeded parameters, in range values."""
+    plan = "plan AS (SELECT study, CAST(0 AS BIGINT) AS trial_id FROM (VALUES " + ", ".join(f"('{x}')" for x in studies) + ") v(study))"
+    params = ", ".join(f"CAST({_suggest_sql(n, spec)} AS DOUBLE) AS {n}" for n, spec in space.items())
+    return f"WITH {plan} SELECT study, trial_id, 'complete' AS state, true AS value_ok, {params} FROM plan"
 
 
-def _vectorizer_cfg(p):
-    return TfidfConfig(ngram_range=NGRAMS[int(p["ngram_idx"])], min_df=int(p["min_df"]), max_df=float(p["max_df"]),
-                       sublinear_tf=bool(p["sublinear_tf"]), max_features=int(p["max_features"]))
+def _recorded(trials, space: dict):
+    return trials.select("study", "trial_id", "state", F.col("value").between(0, 1).alias("value_ok"),
+                         *[F.element_at("params", n).alias(n) for n in space])
 
 
-@register("search_vectorizer")
-def search_vectorizer(spark, sf, n_trials: int = 2):
-    """Stage-1 search, first planned trials, objective = 3-fold CV AUC of the logistic pipeline."""
+@register("search_vectorizer", _seeded_sql(se.VECTORIZER_SPACE, [f"tfidf_{v}" for v in VARIANT_ORDER]))
+def search_vectorizer(spark, sf):
+    """One vectorizer study per cleaning variant, objective = mean CV AUC of the logistic pipeline."""
     train, _ = holdout(spark, sf)
-    studies = spark.createDataFrame([("tfidf_base",)], "study string")
-    pending = se.trial_plan(studies, n_trials, se.VECTORIZER_SPACE)
-    obj = _cv_objective(train, "logreg", lambda p: LR_PARAMS, _vectorizer_cfg)
-    return se.run_search(spark, pending, obj, shared_path(spark, "trials"), n_trials=n_trials)
+    trials = sj.search_vectorizers(train, VARIANT_ORDER, "logreg", LR_PARAMS, shared_path(spark, "trials"),
+                                   n_trials=QUERY_TRIALS, n_splits=QUERY_FOLDS)
+    return _recorded(trials, se.VECTORIZER_SPACE)
 
 
-@register("search_model")
-def search_model(spark, sf, n_trials: int = 2):
+@register("search_model", _seeded_sql(se.LR_SPACE, ["logreg_base"]))
+def search_model(spark, sf):
     """Logistic-regression search (C, max_iter) on fixed default vectors."""
     train, _ = holdout(spark, sf)
-    studies = spark.createDataFrame([("logreg_base",)], "study string")
-    pending = se.trial_plan(studies, n_trials, se.LR_SPACE)
-    obj = _cv_objective(train, "logreg", lambda p: {"C": p["C"], "max_iter": int(p["max_iter"])},
-                        lambda p: TfidfConfig())
-    return se.run_search(spark, pending, obj, shared_path(spark, "trials"), n_trials=n_trials)
+    return _recorded(sj.search_model(train, "logreg", TfidfConfig(), "base", shared_path(spark, "trials"), n_trials=QUERY_TRIALS,
+                                     n_splits=QUERY_FOLDS), se.LR_SPACE)
+
+
+@register("search_svm", _seeded_sql(se.SVM_SPACE, ["rff_svc_base"]))
+def search_svm(spark, sf):
+    """RBF-SVM search (C, gamma) on fixed default vectors."""
+    train, _ = holdout(spark, sf)
+    return _recorded(sj.search_model(train, "rff_svc", TfidfConfig(), "base", shared_path(spark, "trials"), n_trials=QUERY_TRIALS,
+                                     n_splits=QUERY_FOLDS), se.SVM_SPACE)
 
 
-@register("stage1_job")
+def _entries(results):
+    return results.select("entry", F.col("test_auc").between(0, 1).alias("test_ok"), F.col("cv_auc").between(0, 1).alias("cv_ok"),
+                          (F.col("TP") + F.col("FN")).cast("long").alias("positives"))
+
+
+def _entries_sql(names: list[str]) -> str:
+    values = ", ".join(f"('{n}')" for n in names)
+    return S.with_corpus(f"""SELECT entry, true AS test_ok, true AS cv_ok,
+  (SELECT count(*) FROM holdout WHERE split = 'test' AND label = 1) AS positives FROM (VALUES {values}) v(entry)""", _SPLIT)
+
+
+STAGE1_VARIANTS = ["base", "stemming"]  # the job takes any list; two keep the query's fits to 14
+
+
+@register("stage1_job", _entries_sql(STAGE1_VARIANTS))
 def stage1_job(spark, sf):
-    """Search (1 trial) -> best parameters overlaid -> train job -> results row upserted."""
-    trials = search_vectorizer(spark, sf, n_trials=1)
-    best = se.best_params(trials).first()["params"]
-    cfg = _vectorizer_cfg({**FIXED_VECTORIZER, **best})
+    """Per variant: search, best parameters over the fixed block, training job, results row upserted."""
     lab = docs(spark, sf).where("label IS NOT NULL")
-    _, metrics = jobs.train_job(lab, "logreg", LR_PARAMS, cfg, n_splits=3)
-    return metrics
+    results, _ = sj.stage1(lab, STAGE1_VARIANTS, "logreg", LR_PARAMS, FIXED_VECTORIZER, shared_path(spark, "trials"),
+                           n_trials=QUERY_TRIALS, n_splits=QUERY_FOLDS)
+    return _entries(results)
 
 
-@register("stage2_job")
+@register("stage2_job", _entries_sql(["base", "logreg_optimization"]))
 def stage2_job(spark, sf):
-    """Model search (1 trial) on the winning vectorizer -> fit -> test metrics."""
-    trials = search_model(spark, sf, n_trials=1)
-    best = se.best_params(trials).first()["params"]
-    train, test = holdout(spark, sf)
-    m = md.fit(train, "logreg", {"C": best["C"], "max_iter": int(best["max_iter"])}, TfidfConfig())
-    return ev.metrics_long(jobs.evaluate_model(m, test)["metrics"])
+    """The stage-1 winner's variant and vectorizer, a model search on it, training job, results row upserted."""
+    lab = docs(spark, sf).where("label IS NOT NULL")
+    path = shared_path(spark, "trials")
+    results, trials = sj.stage1(lab, ["base"], "logreg", LR_PARAMS, FIXED_VECTORIZER, path, n_trials=QUERY_TRIALS, n_splits=QUERY_FOLDS)
+    return _entries(sj.stage2(lab, "logreg", results, trials, FIXED_VECTORIZER, path, n_trials=QUERY_TRIALS, n_splits=QUERY_FOLDS))

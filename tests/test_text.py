@@ -75,3 +75,16 @@ def test_ngrams_short_documents(spark):
     df = spark.createDataFrame([(["a"],), ([],), (["a", "b", "c"],)], "w array<string>")
     got = [r[0] for r in df.select(tx.ngrams(F.col("w"), 1, 3)).collect()]
     assert got == [["a"], [], ["a", "b", "c", "a b", "b c", "a b c"]]
+
+
+def test_stems_of_the_extended_rules():
+    from lexis.functions.porter import stem
+    assert [stem(w) for w in ("emotionally", "conditionally", "geology", "hopelessly")] == ["emot", "condit", "geolog", "hopelessli"]
+
+
+def test_cleaning_of_odd_blanks_entities_and_double_mojibake(spark):
+    from lexis.functions import text as tx
+    cases = {"https://x.com hello world": "hello world", "don&#8217;t can&rsquo;t caf&eacute; &#x41;&unknown;": "don't can't caf a unknown",
+             "isnÃ¢â‚¬â„¢t": "isn't", "a &amp;lt; b": "a lt b", "x <b> &amp;": "x b amp"}
+    rows = spark.createDataFrame([(k,) for k in cases], "t string").select("t", tx.clean_text("t").alias("c")).collect()
+    assert {r.t: r.c for r in rows} == cases
