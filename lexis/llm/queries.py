@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexis.llm import language_id, lm, url_filter
+from lexis.llm import language_id, lm, oracles, url_filter
 from lexis.llm.decontaminate import contaminated
 from lexis.llm.html_text import main_texts
 from lexis.llm.mixing import mix_sources
@@ -36,7 +36,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), model, rules).drop("url")
 
 
-@register("op3_benchmark_decontamination")
+@register("op3_benchmark_decontamination", oracles.DECONTAMINATION)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of a document and a benchmark item that it contains to 80 % of
     its 5-word shingles."""
@@ -74,14 +74,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs, weights=(3, 1, 2), share=1.5, most=2.0).select("doc_id", "size", "source_size", "target", "taken")
 
 
-@register("op8_minhash_near_dedup")
+@register("op8_minhash_near_dedup", oracles.NEAR_DEDUP)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, similarity
     at least 0.85."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
-@register("op9_substring_dedup")
+@register("op9_substring_dedup", oracles.SUBSTRING_DEDUP)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 35-word windows removed from all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
