@@ -121,19 +121,20 @@ def _matrix(sigs: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(rows), dtype=np.uint16).reshape(len(rows), -1)
 
 
-def _search(size: int, near) -> Iterator[tuple[int, int]]:
-    """Spanning forest of a graph on ``range(size)`` by breadth-first search;
-    ``near(i, rest)`` tells which members of ``rest`` neighbour ``i``."""
-    rest = np.arange(size)
+def _stars(ids: np.ndarray, near) -> Iterator[tuple[int, int]]:
+    """Connected components of a graph on ``range(len(ids))`` by breadth-first
+    search, each as edges to its smallest id; ``near(i, rest)`` tells which
+    members of ``rest`` neighbour ``i``."""
+    rest = np.arange(len(ids))
     while len(rest):
-        queue, rest = [int(rest[0])], rest[1:]
-        while queue and len(rest):
-            i = queue.pop()
-            hit = near(i, rest)
-            for j in rest[hit]:
-                yield i, int(j)
-            queue.extend(rest[hit].tolist())
-            rest = rest[~hit]
+        found, rest, at = [int(rest[0])], rest[1:], 0
+        while at < len(found) and len(rest):
+            hit = near(found[at], rest)
+            found.extend(rest[hit].tolist())
+            rest, at = rest[~hit], at + 1
+        names = ids[found]
+        low = int(names.min())
+        yield from ((low, int(x)) for x in names if x != low)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -180,9 +181,9 @@ def _bucket_edges(percent: int, limit: int):
                     ok[ok] = (s[rest[ok]] != s[i]).sum(axis=1) <= limit
                     return ok
 
-                for i, j in _search(hi - lo, near):
-                    a.append(ids[i])
-                    b.append(ids[j])
+                for x, y in _stars(ids, near):
+                    a.append(x)
+                    b.append(y)
             yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
     return run
 
@@ -215,9 +216,9 @@ def _confirm(size: int, percent: int, limit: int, places: int):
                         ok[some] = 100 * both >= percent * (n[i] + sizes - both)
                     return ok
 
-                for i, j in _search(len(sets), near):
-                    a.append(ids[i])
-                    b.append(ids[j])
+                for x, y in _stars(ids, near):
+                    a.append(x)
+                    b.append(y)
             yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
     return run
 

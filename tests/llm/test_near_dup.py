@@ -74,3 +74,27 @@ def test_null_ids_and_empty_table(spark):
     assert sorted((str(r.doc_id), r.component_id, r.kept) for r in got) == sorted(
         [("None", 4, False), ("4", 4, True), ("None", -2, False), ("-2", -2, True), ("9", 9, True), ("9", 9, True)])
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_components_of_chains_stars_and_cycles(spark):
+    from lexis.llm.graph import components
+    chain = [(i, i + 1) for i in range(40)]
+    star = [(1000, 1001 + i) for i in range(50)]
+    cycle = [(200 + i, 200 + (i + 1) % 7) for i in range(7)]
+    rnd = random.Random(0)
+    rest = [(rnd.randrange(300, 400), rnd.randrange(300, 400)) for _ in range(70)] + [(5, 5), (-7, 3)]
+    edges = chain + star + cycle + rest
+    up = {x: x for e in edges for x in e}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: root(x) for x in linked}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
