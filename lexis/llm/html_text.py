@@ -53,7 +53,8 @@ FURNITURE_WORDS = frozenset(
     "notice popup modal overlay newsletter subscribe signup sidebar sidenav menu nav navbar navigation topbar breadcrumb breadcrumbs "
     "footer masthead comment comments commentlist disqus respond replies discussion share sharing social related recommended "
     "recommendations widget widgets toolbar login search pagination pager copyright contentinfo complementary form alert skip".split())
-HEADER_WORDS = frozenset("header page-header site-header".split())
+HEADER_WORDS = frozenset("header pageheader siteheader".split())
+FURNITURE_STEMS = ("cookie", "advert", "sidebar", "breadcrumb", "newsletter", "sponsor", "popup", "navbar", "disqus", "recommend", "subscri")
 MAIN_WORDS = frozenset("article post entry content main story articlebody".split())
 
 _TAG = re.compile(r"""<(?:(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>|!--(?:>|->|(?s:.)*?(?:--!?>|\Z))|[!?/][^>]*+(?:>|\Z))""")
@@ -88,7 +89,7 @@ def _role(tag: str, raw: str, in_main: bool) -> tuple[bool, bool]:
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
         return True, False
     words = frozenset(_WORDS.findall(" ".join(found.get(k, "") for k in ("class", "id", "role")).lower()))
-    if words & FURNITURE_WORDS or words & HEADER_WORDS and not in_main:
+    if words & FURNITURE_WORDS or words & HEADER_WORDS and not in_main or any(w.startswith(FURNITURE_STEMS) for w in words):
         return True, False
     return False, tag in ("div", "section", "td") and bool(
         words & MAIN_WORDS or "articlebody" in found.get("itemprop", "").lower())
@@ -116,6 +117,19 @@ def parse(page: str) -> Node:
         if found[2] is None:
             continue
         tag, raw = found[2].lower(), found[3].strip()
+        if tag in INLINE and tag not in VOID:
+            if at.drop and at.tag in INLINE:  # inside furniture that is set in a line of text
+                if tag == at.tag:
+                    at.links += -1 if found[1] else 1
+                    if at.links < 0:
+                        at = at.parent
+                continue
+            if raw and not found[1] and _role(tag, raw, True)[0]:
+                at.parts.append(Node(tag, at, drop=True))
+                at = at.parts[-1]
+                continue
+        elif tag not in INLINE and at.drop and at.tag in INLINE:
+            at = at.parent  # a block ends it
         if tag == "a":
             if found[1]:
                 links = 0
@@ -246,7 +260,7 @@ def blocks(node: Node) -> Iterator[str]:
             yield from flush()
         elif isinstance(part, tuple):
             held.append(part[0])
-        else:
+        elif not (part.drop and part.tag in INLINE):
             yield from flush()
             if not part.drop and not _link_list(part):
                 stack.append(iter(part.parts))

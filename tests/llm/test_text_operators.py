@@ -26,6 +26,8 @@ def test_article_without_furniture(article):
 @pytest.mark.parametrize("page,want", [
     (None, ""), ("", ""), ("<html></html>", ""), ("just words", "just words"), ("<p>a<p>b<br>c", "a\nb c"),
     ("<p>1 < 2 &lt; 3", "1 < 2 < 3"), ("<p>cut off <b", "cut off"), ("<style>p{}</style><p>x</p><!-- y -->", "x"),
+    ("<p>a <span class=ad>buy <span>this</span> now</span> b <b>c</b></p>", "a b c"), ("<p>a <span class=ad>buy<p>b", "a\nb"),
+    ("<div id=cookiebar>ok?</div><p>text of the page</p>", "text of the page"),
     ("<p>caf&eacute;&#x21;&nbsp;&unknown;", "café! &unknown;")])
 def test_odd_pages(page, want):
     assert extract(page) == want
