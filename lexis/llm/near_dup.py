@@ -22,10 +22,10 @@ clusters beyond ``BLOCK`` rows are cut into blocks and every pair of blocks is
 a task of bounded size, which keeps the result exact.
 
 Defined cases: null text, or a text without words, has ``n_shingles`` 0 and is
-linked with nothing; rows that share a doc_id are one document of the graph; a
-row with null doc_id takes part (its component is the smallest known doc_id it
-reaches, else null, and it is kept only when no doc_id is reached and it is not
-a copy of another null row: see ``kept``).
+linked with nothing (its component is its own doc_id); a row with null doc_id
+takes part, its component is the smallest known doc_id it reaches, else null,
+and it is never ``kept``; rows that repeat a doc_id and its text are all kept or
+none (they share id and component); extra columns are ignored.
 """
 
 from __future__ import annotations
