@@ -69,6 +69,7 @@ def _garblings(mark: str) -> list[tuple[str, str]]:
 MOJIBAKE_REPAIRS = sorted((pair for mark in REPAIRED_MARKS for pair in _garblings(mark)), key=lambda p: -len(p[0]))
 # C1 control characters read as cp1252 quotes.
 C1_SINGLE_QUOTES, C1_DOUBLE_QUOTES = "\u0091\u0092", "\u0093\u0094"
+REFERENCE = "&#?[A-Za-z0-9]+;"
 ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 LIGATURES = [("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"),
              ("ﬅ", "st"), ("ﬆ", "st"), ("Ĳ", "IJ"), ("ĳ", "ij")]
@@ -126,12 +127,12 @@ def unescape_html(c) -> Column:
         valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
         numeric = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise(F.lit("\uFFFD"))
         found = F.when(F.startswith(ref, F.lit("#")), numeric).otherwise(F.try_element_at(book, ref))
-        return F.when((ref != "") & found.isNotNull(), F.concat(found, F.substr(piece, F.length(ref) + 2))).otherwise(
-            F.concat(F.lit("&"), piece))
+        plain = F.concat(F.lit("&"), piece)
+        return F.when(ref == "", plain).otherwise(F.coalesce(F.concat(found, F.substr(piece, F.length(ref) + 2)), plain))
 
     pieces = F.split(c, "&", -1)
     rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decode)
-    return F.when(F.instr(c, "&") > 0, F.concat(pieces[0], F.array_join(rest, ""))).otherwise(c)
+    return F.when(c.rlike(REFERENCE), F.concat(pieces[0], F.array_join(rest, ""))).otherwise(c)
 
 
 def fix_encoding(c) -> Column:
