@@ -91,6 +91,16 @@ def test_quality_edges(spark):
     assert quality.classify(df.limit(0), labels).count() == 0
 
 
+def test_quality_rejects_toxic_documents_whose_labels_it_has_not_seen(spark, sf):
+    docs = spark.read.parquet(sf.replace("0.001", "0.1") + "/documents.parquet").filter("lang = 'en'")
+    labels = spark.read.parquet(sf.replace("0.001", "0.1") + "/labels.parquet")
+    hidden = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    rows = quality.classify(docs, labels.filter(~hidden)).join(labels.filter(hidden & (F.col("quality") == 1)), "doc_id").collect()
+    clean, toxic = [r.kept for r in rows if not r.toxic], [r.kept for r in rows if r.toxic]
+    assert len(toxic) > 40 and sum(toxic) <= 0.15 * len(toxic)
+    assert sum(clean) >= 0.98 * len(clean)
+
+
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 
