@@ -101,6 +101,19 @@ def test_quality_rejects_toxic_documents_whose_labels_it_has_not_seen(spark, sf)
     assert sum(clean) >= 0.98 * len(clean)
 
 
+def test_quality_model_for_a_rare_language(spark):
+    text = "a sound text number %d with some plain words in it and a few more of them"
+    docs = [(i, text % i, "en") for i in range(3000)] + [(5000 + i, "ein ganz " + text % i, "de") for i in range(20)]
+    df = spark.createDataFrame([*docs, (9000, "XQ# 77 ZZ! @@ 0x1 QQ# 99", "de")], "doc_id long, text string, lang string").repartition(4)
+    labels = df.filter("doc_id < 9000").selectExpr("doc_id", "1 as quality", "0 as toxic")
+    rows = {r.doc_id: r for r in quality.classify(df, labels, max_docs=100).collect()}
+    assert all(r.perplexity is not None for r in rows.values())
+    assert not rows[9000].kept and all(rows[d].kept for d, _, lang in docs if lang == "de")
+    drawn = {r.lang: r.n for r in quality.sample_ids(df, labels, 100).groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    assert drawn["de"] >= 10 and 60 <= drawn["en"] <= 140
+    assert quality.sample_ids(df, labels, 3000, 20_000).filter("lang = 'en'").count() < 500
+
+
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 
