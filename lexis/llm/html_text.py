@@ -19,8 +19,9 @@ White space inside a block becomes one space, blocks are joined by newlines,
 character references are decoded; nothing else is dropped or cut.
 
 Defined cases: null, empty or text-free html gives an empty text; unclosed and
-stray tags follow the usual repairs (a block ends an open ``p``); an unfinished
-tag at the end of the page is dropped; columns named like the results are
+stray tags follow the usual repairs (a block ends an open ``p``); a quote opens a
+value only after ``=`` and when it is closed further on, else the tag ends at the
+next ``>``; a tag after which the page has no ``>`` is dropped; columns named like the results are
 replaced.
 """
 
@@ -57,8 +58,8 @@ HEADER_WORDS = frozenset("header pageheader siteheader".split())
 FURNITURE_STEMS = ("cookie", "advert", "sidebar", "breadcrumb", "newsletter", "sponsor", "popup", "navbar", "disqus", "recommend", "subscri")
 MAIN_WORDS = frozenset("article post entry content main story articlebody".split())
 
-_TAG = re.compile(r"""<(?:(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>|!--(?:>|->|(?s:.)*?(?:--!?>|\Z))|[!?/][^>]*+(?:>|\Z))""")
-_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
+_TAG = re.compile(r"""<(?:(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+)*+)>|!--(?:>|->|(?s:.)*?(?:--!?>|\Z))|[!?/][^>]*+(?:>|\Z))""")
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*))?)?""")
 _WORDS = re.compile(r"[a-z0-9]+")
 
 

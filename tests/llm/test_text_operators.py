@@ -23,6 +23,18 @@ def test_article_without_furniture(article):
     assert extract(f"<html><head><title>T</title></head><body>{FURNITURE}{article}{TAIL}</body></html>") == want
 
 
+@pytest.mark.parametrize("tag", ['<p class="a"">', "<img alt='It's here'>", '<p title="a" b">', "<p title=a'b>", '<br / ">',
+                                 '<a href=x?a="b>', "<p data-x = 'a' ' c>"])
+def test_stray_quotes_end_with_their_tag(tag):
+    assert extract(f"<div><p>before</p>{tag}middle</p><p>it's the \"end\" of it</p></div>") == "before\nmiddle\nit's the \"end\" of it"
+    assert extract(f"<div><p>before</p>{tag}middle</p><p>the end</p></div>") == "before\nmiddle\nthe end"
+
+
+def test_value_without_closing_quote():
+    assert extract('<p>before</p><p class="a>middle</p><p>end') == "before\nmiddle\nend"
+    assert extract('<p title="a > b">x</p><p title=\'<p>\'>y</p>') == "x\ny"
+
+
 @pytest.mark.parametrize("page,want", [
     (None, ""), ("", ""), ("<html></html>", ""), ("just words", "just words"), ("<p>a<p>b<br>c", "a\nb c"),
     ("<p>1 < 2 &lt; 3", "1 < 2 < 3"), ("<p>cut off <b", "cut off"), ("<style>p{}</style><p>x</p><!-- y -->", "x"),
