@@ -2,7 +2,9 @@
 
 The page is read into a tree of block elements (inline markup only contributes
 its text; links are counted).  Elements that are page furniture by their tag,
-role, or the words of their class and id are left out first.  For every node
+role, or the words of their class and id are left out first; inside an
+``article`` or ``main`` element only a whole name of class or role counts, or an
+id that no section of a text would have.  For every node
 
     density = C / T * ln(C / C_links * T / T_links) / b   with
     b = ln(C / (C - C_links) * C_links + C_links(body) / C(body) * C + e)
@@ -13,7 +15,8 @@ its children's densities; text between them counts as one child.  The subtree wi
 the smallest density on the path from the body to it is the threshold below
 which no side branch is considered.  If the subtree lies in an ``article`` or
 ``main`` element, or in the ``div`` or ``section`` that names itself so, that
-element is taken whole.
+element is taken whole, lists of links included; elsewhere lists that are
+nearly all links are left out.
 
 White space inside a block becomes one space, blocks are joined by newlines,
 character references are decoded; nothing else is dropped or cut.
@@ -54,6 +57,8 @@ FURNITURE_WORDS = frozenset(
     "notice popup modal overlay newsletter subscribe signup sidebar sidenav menu nav navbar navigation topbar breadcrumb breadcrumbs "
     "footer masthead comment comments commentlist disqus respond replies discussion share sharing social related recommended "
     "recommendations widget widgets toolbar login search pagination pager copyright contentinfo complementary form alert skip".split())
+FURNITURE_IDS = frozenset("ad ads advert adverts advertisement sidebar sidenav navbar breadcrumb breadcrumbs pagination pager comments commentlist "
+                          "disqus respond newsletter cookie cookies masthead toolbar".split())
 HEADER_WORDS = frozenset("header pageheader siteheader".split())
 FURNITURE_STEMS = ("cookie", "advert", "sidebar", "breadcrumb", "newsletter", "sponsor", "popup", "navbar", "disqus", "recommend", "subscri")
 MAIN_WORDS = frozenset("article post entry content main story articlebody".split())
@@ -77,6 +82,18 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(raw)}
 
 
+def _furniture_name(name: str) -> bool:
+    """A whole name that says furniture: one such word, or several of nothing else."""
+    parts = _WORDS.findall(name)
+    return len(parts) == 1 and parts[0].startswith(FURNITURE_STEMS) or bool(parts) and FURNITURE_WORDS.issuperset(parts)
+
+
+def _in_main(node: Node | None) -> bool:
+    while node is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    return node is not None
+
+
 def _role(tag: str, raw: str, in_main: bool) -> tuple[bool, bool]:
     """(page furniture, names itself the main text)."""
     if tag in FURNITURE or tag == "header" and not in_main:
@@ -90,7 +107,11 @@ def _role(tag: str, raw: str, in_main: bool) -> tuple[bool, bool]:
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
         return True, False
     words = frozenset(_WORDS.findall(" ".join(found.get(k, "") for k in ("class", "id", "role")).lower()))
-    if words & FURNITURE_WORDS or words & HEADER_WORDS and not in_main or any(w.startswith(FURNITURE_STEMS) for w in words):
+    if in_main:
+        names = f"{found.get('class', '')} {found.get('role', '')}".lower().split()
+        if found.get("id", "").lower() in FURNITURE_IDS or any(map(_furniture_name, names)):
+            return True, False
+    elif words & FURNITURE_WORDS or words & HEADER_WORDS and tag not in INLINE or any(w.startswith(FURNITURE_STEMS) for w in words):
         return True, False
     return False, tag in ("div", "section", "td") and bool(
         words & MAIN_WORDS or "articlebody" in found.get("itemprop", "").lower())
@@ -125,7 +146,7 @@ def parse(page: str) -> Node:
                     if at.links < 0:
                         at = at.parent
                 continue
-            if raw and not found[1] and _role(tag, raw, True)[0]:
+            if raw and not found[1] and _role(tag, raw, _in_main(at))[0]:
                 at.parts.append(Node(tag, at, drop=True))
                 at = at.parts[-1]
                 continue
@@ -166,10 +187,7 @@ def parse(page: str) -> Node:
             step = step.parent
         if at.tag == "head" and tag not in ("base", "link", "meta"):
             at = at.parent
-        in_main, step = False, at
-        while step is not None and not in_main:
-            in_main, step = step.tag in ("article", "main"), step.parent
-        drop, main = _role(tag, raw, in_main)
+        drop, main = _role(tag, raw, _in_main(at))
         node = Node(tag, at, drop, main)
         at.parts.append(node)
         if tag not in VOID and not raw.endswith("/"):
@@ -246,6 +264,7 @@ def main_node(root: Node) -> Node | None:
 
 def blocks(node: Node) -> Iterator[str]:
     """Texts of the subtree's blocks in page order."""
+    whole = _in_main(node) or node.main
     held: list[str] = []
     stack = [iter(node.parts)]
 
@@ -263,7 +282,7 @@ def blocks(node: Node) -> Iterator[str]:
             held.append(part[0])
         elif not (part.drop and part.tag in INLINE):
             yield from flush()
-            if not part.drop and not _link_list(part):
+            if not part.drop and (whole or not _link_list(part)):
                 stack.append(iter(part.parts))
 
 

@@ -30,6 +30,20 @@ def test_stray_quotes_end_with_their_tag(tag):
     assert extract(f"<div><p>before</p>{tag}middle</p><p>the end</p></div>") == "before\nmiddle\nthe end"
 
 
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_article_keeps_its_link_lists_and_sections(tag):
+    links = "<ul><li><a href=/1>First source</a></li><li><a href=/2>Second source</a></li></ul>"
+    body = ("<h1>Sources</h1><p>A paper that lists all of its sources.</p>" + links +
+            "<section id=discussion><h2 id='search-algorithms'>Search</h2><p>Discussed here.</p></section>"
+            "<div class='social-science'>Social.</div><section id='related-work'>Others did it <b id=notice>too</b>.</section>")
+    out = ("<nav>" + links + "</nav><ul class='related'><li><a href=/3>Not this</a></li></ul><div role=navigation>nor this</div>"
+           "<div class='social-share'>share</div><div class='cookiebar'>ok?</div><div id=comments>me too</div>")
+    want = ("Sources\nA paper that lists all of its sources.\nFirst source\nSecond source\nSearch\nDiscussed here.\nSocial.\n"
+            "Others did it too.")
+    assert extract(f"<body>{FURNITURE}<{tag}>{body}{out}</{tag}>{TAIL}</body>") == want
+    assert extract(f"<body>{FURNITURE}<{tag}><h1>Links</h1>{links}</{tag}>{TAIL}</body>") == "Links\nFirst source\nSecond source"
+
+
 def test_value_without_closing_quote():
     assert extract('<p>before</p><p class="a>middle</p><p>end') == "before\nmiddle\nend"
     assert extract('<p title="a > b">x</p><p title=\'<p>\'>y</p>') == "x\ny"
