@@ -22,7 +22,7 @@ from lexis.sources.corpus import corpus
 CFG = TfidfConfig()                                            # default vectorizer block
 LR_PARAMS = {"C": 1.110118}                                    # tuned logistic block
 SVM_PARAMS = {"C": 1.100814, "gamma": 0.385474, "n_components": 256}
-GBT_PARAMS = {"n_estimators": 20, "max_depth": 4, "learning_rate": 0.1, "random_state": 42}
+GBT_PARAMS = {k: md.DEFAULT_GBT[k] for k in ("n_estimators", "max_depth", "learning_rate", "random_state")}
 
 
 def docs(spark, sf):

@@ -62,3 +62,9 @@ def test_cross_validation_shape(spark, sf, train):
     cv = jobs.cross_validate(train, "logreg", {"C": 1.0}, TfidfConfig(max_features=500), n_splits=3).collect()
     assert [r.fold for r in cv] == [0, 1, 2]
     assert all(0.0 <= r.test_auc <= 1.0 and 0.0 <= r.train_auc <= 1.0 for r in cv)
+
+
+def test_tree_queries_use_the_estimators_defaults():
+    from lexis.operators.models import DEFAULT_GBT
+    from lexis.plans.models import GBT_PARAMS
+    assert all(GBT_PARAMS[k] == DEFAULT_GBT[k] for k in ("n_estimators", "max_depth", "learning_rate"))
