@@ -45,3 +45,32 @@ kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS k FROM words ANTI JOIN
 cut AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(cut.n, 0) AS n_removed, sha256(coalesce(kept.k, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN cut USING (doc_id)"""
+
+
+def _clusters(k: int = 8, rounds: int = 10) -> str:
+    """Lloyd rounds written out one after the other over (row, dimension, component)."""
+    def nearest(t: int) -> str:
+        return f"""d{t} AS MATERIALIZED (SELECT r, k, sum((s.x - c.x) * (s.x - c.x)) AS dist FROM s JOIN c{t} c USING (i) GROUP BY r, k),
+a{t} AS MATERIALIZED (SELECT r, min_by(k, dist * {k} + k) AS k, min(dist) AS dist FROM d{t} GROUP BY r)"""
+
+    def moved(t: int) -> str:
+        return f"""c{t + 1} AS MATERIALIZED (SELECT c.k, c.i, coalesce(m.x, c.x) AS x FROM c{t} c LEFT JOIN
+  (SELECT k, i, CAST(floor(sum(x) / count(*)) AS BIGINT) AS x FROM s JOIN a{t} USING (r) GROUP BY k, i) m ON m.k = c.k AND m.i = c.i)"""
+
+    steps = ",\n".join(f"{nearest(t)},\n{moved(t)}" for t in range(rounds))
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, sha256('3:' || vec_id) AS h,
+  list_transform(embedding, lambda c: CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = 64),
+s AS MATERIALIZED (SELECT r, unnest(range(64)) AS i, unnest(x) AS x FROM v),
+c0 AS MATERIALIZED (SELECT k, unnest(range(64)) AS i, unnest(x) AS x
+  FROM (SELECT row_number() OVER (ORDER BY h) - 1 AS k, x FROM v ORDER BY h LIMIT {k})),
+{steps},
+{nearest(rounds)},
+sha AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY k)
+SELECT v.vec_id, CAST(a.k AS INTEGER) AS cluster, CAST(a.dist AS BIGINT) AS distance,
+  CAST(sum(a.dist) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(a.dist) OVER () AS BIGINT) AS inertia, sha.h AS centroid_sha256
+FROM a{rounds} a JOIN v USING (r) JOIN sha ON sha.k = a.k"""
+
+
+CLUSTERS = _clusters()

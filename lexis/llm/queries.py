@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexis.llm import language_id, lm, oracles, url_filter
 from lexis.llm.decontaminate import contaminated
+from lexis.llm.edit_fingerprints import fingerprint_with_next
 from lexis.llm.html_text import main_texts
 from lexis.llm.mixing import mix_sources
 from lexis.llm.near_dup import near_duplicates
@@ -14,6 +15,8 @@ from lexis.llm.quality import classify
 from lexis.llm.registry import ORACLE, QUERIES, register, table  # noqa: F401
 from lexis.llm.substring_dedup import dedup_substrings
 from lexis.llm.vp_search import nearest
+from lexis.llm.walsh_clusters import cluster
+from lexis.llm.whitening import whiten
 
 
 def held_out(parts: int):
@@ -94,3 +97,23 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest vectors of every vector whose id is divisible by 50 (exact)."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest(vectors, F.col("vec_id") % 50 == 0, k=5, factor=1.0)
+
+
+@register("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 16 largest whitened components of every vector."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whiten(vectors, components=16, scale=64, offset=1_000_000)
+
+
+@register("op12_centroid_clustering", oracles.CLUSTERS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of all vectors after ten rounds."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return cluster(vectors, k=8, rounds=10, scale=1024, seed="3")
+
+
+@register("op13_document_fingerprints")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its text edited by the next one."""
+    return fingerprint_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -9,7 +9,7 @@ from lexis.llm.queries import ORACLE, QUERIES
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_query_equals_sql(spark, sf, key):
     con = duckdb.connect()
-    for name in ("documents", "benchmark"):
+    for name in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf}/{name}.parquet')")
     rel = con.sql(ORACLE[key])
     df = QUERIES[key](spark, sf)
