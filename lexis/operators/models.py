@@ -18,7 +18,7 @@ import math
 import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector, SparseVector, Vectors, VectorUDT
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from lexis.functions import text as tx
 from lexis.operators import clean as cl
-from lexis.operators import evaluate as ev
 from lexis.operators import tfidf as tfm
+from lexis.operators.boosting import BoostedTrees, BoostParams
 from lexis.operators.tfidf import TfidfConfig
 from lexis.session import materialize
 
@@ -257,39 +257,37 @@ class MarginPlattReader(MLReader):
 
 
 # --------------------------------------------------------------------------- estimator registry (F1)
-REJECTED_PARAMS = {"reg_alpha", "reg_lambda"}
 NON_CONSTRUCTOR = {"class", "eval_metric"}
-MAX_TREE_DEPTH = 30  # MLlib's own limit
 ESTIMATORS = ("gbt", "logreg", "linear_svc", "rff_svc")
+# Fixed values that must match: the default boosted model.
 DEFAULT_GBT = {"n_estimators": 500, "max_depth": 6, "learning_rate": 0.05, "random_state": 42,
                "scale_pos_weight": 0.93}
 
 
+def boost_params(params: dict) -> BoostParams:
+    """checked parameters of the boosted trees; unknown names are an error."""
+    p = {k: v for k, v in params.items() if k not in NON_CONSTRUCTOR and v is not None}
+    unknown = set(p) - set(BoostParams.__dataclass_fields__)
+    if unknown:
+        raise ValueError(f"unknown parameters of the boosted trees: {sorted(unknown)}")
+    whole = {"n_estimators", "max_depth", "max_bin", "random_state", "early_stopping_rounds"}
+    return BoostParams(**{k: int(v) if k in whole else float(v) for k, v in p.items()})
+
+
 def build_classifier(name: str, params: dict | None, n_train: float, weighted: bool) -> list:
     """estimator stages reading ``features`` and ``label`` (and ``weight``)."""
     p = {k: v for k, v in (params or {}).items() if k not in NON_CONSTRUCTOR}
-    bad = REJECTED_PARAMS & set(p)
-    if bad:
-        raise ValueError(f"parameters without an MLlib counterpart: {sorted(bad)}")
-    if p.pop("early_stopping_rounds", None) is not None:
+    if p.get("early_stopping_rounds") is not None:
         raise ValueError("early_stopping_rounds needs a validation part: use jobs.train_job or gbt_early_stopping")
-    if int(p.get("max_depth", 6)) > MAX_TREE_DEPTH:
-        raise ValueError(f"max_depth above {MAX_TREE_DEPTH} is not supported")
+    if name == "gbt":
+        return [BoostedTrees(boost_params(p), weightCol="weight" if weighted else None)]
     seed = int(p.pop("random_state", 42))
     w = {"weightCol": "weight"} if weighted else {}
-    if name == "gbt":
-        cs = float(p.get("colsample_bytree", 1.0))
-        return [GBTClassifier(
-            featuresCol="features", labelCol="label", seed=seed,
-            maxIter=int(p.get("n_estimators", 100)), maxDepth=int(p.get("max_depth", 6)),
-            stepSize=float(p.get("learning_rate", 0.1)), subsamplingRate=float(p.get("subsample", 1.0)),
-            featureSubsetStrategy="all" if cs >= 1.0 else str(cs), minInfoGain=float(p.get("gamma", 0.0)),
-            minInstancesPerNode=max(1, int(round(float(p.get("min_child_weight", 1))))), **w)]
     c = float(p.get("C", 1.0))
     reg = 1.0 / (c * max(n_train, 1.0))
     if name == "logreg":
         return [LogisticRegression(featuresCol="features", labelCol="label", regParam=reg, elasticNetParam=0.0,
-                                   standardization=False, maxIter=int(p.get("max_iter", 100)), tol=1e-6, **w)]
+                                   standardization=False, maxIter=int(p.get("max_iter", 100)), tol=1e-9, **w)]
     if name == "linear_svc":
         return [LinearSVC(featuresCol="features", labelCol="label", regParam=reg, standardization=False,
                           maxIter=int(p.get("max_iter", 200)), **w)]
@@ -371,46 +369,22 @@ def rounded(predictions: DataFrame, dp: int = 4) -> DataFrame:
     return predictions.withColumn("probability", F.round("probability", dp))
 
 
-def tree_scores(gbt_model, featured: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep, trees, probability``: the margin of the first 1, 2, ... n trees of a
-    boosted model (its logistic image is the probability; ranks are the same)."""
-    out = featured
-    for i, tree in enumerate(gbt_model.trees):
-        out = tree.copy({tree.predictionCol: f"_t{i}"}).transform(out)
-    weights = list(gbt_model.treeWeights)
-    terms = F.array(*[F.col(f"_t{i}") * w for i, w in enumerate(weights)])
-    sums = F.transform(F.sequence(F.lit(1), F.lit(len(weights))),
-                       lambda k: F.struct(k.alias("trees"), F.aggregate(F.slice(terms, F.lit(1), k), F.lit(0.0), lambda a, x: a + x).alias("s")))
-    return out.select(*keep, F.explode(sums).alias("_e")).select(
-        *keep, F.col("_e.trees").alias("trees"), (1 / (1 + F.exp(-2 * F.col("_e.s")))).alias("probability"))
-
-
 def gbt_early_stopping(train: DataFrame, val: DataFrame, params: dict, cfg: TfidfConfig, rounds: int,
                        variant: str = "base", text_col: str = "text") -> tuple[PipelineModel, int, float]:
-    """grow ``n_estimators`` trees on the training part, follow the validation
-    AUC after each tree, stop when ``rounds`` trees in a row bring no better one,
-    and keep the trees up to the best.  Cleaning, terms and vectors are computed
-    once; the kept trees are refitted from the same seed, which repeats them.
-    Returns (model, trees, best AUC)."""
+    """grow at most ``n_estimators`` trees on the training part, following the
+    AUC of the validation rows, which run along in the same fit; growth stops when
+    ``rounds`` trees in a row bring no better one, and the trees up to the best are
+    kept.  Cleaning, terms and vectors are computed once (vocabulary and idf from
+    the training part alone).  Returns (model, trees, best AUC)."""
     lo, hi = cfg.ngram_range
     cleaner = TextCleaner(inputCol=text_col, outputCol="clean", variant=variant)
     terms = TermExtractor(inputCol="clean", outputCol="terms", ngramLo=lo, ngramHi=hi)
-    prepare = PipelineModel([cleaner, terms])
-    fitted = materialize(prepare.transform(train).drop(text_col, "clean"), "stop-train")
-    held = materialize(prepare.transform(val).drop(text_col, "clean"), "stop-val")
+    both = train.select("label", text_col, F.lit(False).alias("held")).unionByName(val.select("label", text_col, F.lit(True).alias("held")))
+    prepared = materialize(PipelineModel([cleaner, terms]).transform(both).select("label", "held", "terms"), "stop-terms")
     spw = params.get("scale_pos_weight")
-    data = with_class_weight(fitted, spw) if spw is not None else fitted
-    vectors = TfidfVectorizer(inputCol="terms", outputCol="features", config=cfg).fit(data)
-    rest = {k: v for k, v in params.items() if k not in ("scale_pos_weight", "early_stopping_rounds")}
-    featured = materialize(vectors.transform(data).select("label", *(["weight"] if spw is not None else []), "features"), "stop-features")
-    gbt, = build_classifier("gbt", rest, 0.0, spw is not None)
-    scores = tree_scores(gbt.fit(featured), vectors.transform(held), ["label"])
-    aucs = dict(ev.roc_auc(scores, groups=["trees"]).select("trees", "auc").collect())  # one row per tree
-    best = 1
-    for k in sorted(aucs):
-        if (aucs[k] or 0.0) > (aucs[best] or 0.0) + 1e-12:
-            best = k
-        elif k - best >= rounds:
-            break
-    kept = gbt.copy({gbt.maxIter: best}).fit(featured)
-    return PipelineModel([cleaner, terms, *vectors.stages, kept]), best, float(aucs[best] or 0.0)
+    data = with_class_weight(prepared, spw) if spw is not None else prepared
+    vectors = TfidfVectorizer(inputCol="terms", outputCol="features", config=cfg).fit(data.where("not held"))
+    rest = {k: v for k, v in params.items() if k != "scale_pos_weight"} | {"early_stopping_rounds": rounds}
+    gbt = BoostedTrees(boost_params(rest), weightCol="weight" if spw is not None else None, heldCol="held")
+    fitted = gbt.fit(vectors.transform(data))
+    return PipelineModel([cleaner, terms, *vectors.stages, fitted]), fitted.getNumTrees, float(max(fitted.aucs))

@@ -38,8 +38,8 @@ VECTORIZER_SPACE = {
 GBT_SPACE = {
     "n_estimators": ("int", 100, 1500), "max_depth": ("int", 3, 10), "learning_rate": ("logf", 0.005, 0.3),
     "subsample": ("float", 0.6, 1.0), "colsample_bytree": ("float", 0.6, 1.0), "gamma": ("float", 0.0, 5.0),
-    "min_child_weight": ("int", 1, 10),
-}  # reg_alpha / reg_lambda have no MLlib counterpart and are not searched
+    "min_child_weight": ("int", 1, 10), "reg_alpha": ("logf", 1e-8, 10.0), "reg_lambda": ("logf", 1e-8, 10.0),
+}
 SVM_SPACE = {"C": ("logf", 0.01, 100.0), "gamma": ("logf", 1e-4, 1.0)}
 LR_SPACE = {"C": ("logf", 0.001, 100.0), "max_iter": ("int", 200, 2000)}
 MODEL_SPACES = {"gbt": GBT_SPACE, "rff_svc": SVM_SPACE, "logreg": LR_SPACE}

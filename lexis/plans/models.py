@@ -2,7 +2,9 @@
 
 A fitted model's scores cannot be recomputed in SQL, so the queries return what
 can: every expected row, whether its class and probability are valid and agree,
-and identities of the metrics.  The oracle states the rows and that all hold."""
+identities of the metrics, and bounds that a fitted model meets and a guess does
+not: a training AUC of 0.8, a test AUC above one half, and a test log loss below
+that of the training part's class shares, which SQL computes too."""
 
 from __future__ import annotations
 
@@ -17,6 +19,7 @@ from lexis.operators.tfidf import TfidfConfig
 from lexis.plans import sql as S
 from lexis.plans.registry import register
 from lexis.plans.splits import _SPLIT
+from lexis.session import materialize
 from lexis.sources.corpus import corpus
 
 CFG = TfidfConfig()                                            # default vectorizer block
@@ -54,63 +57,92 @@ def checked(scored, rule=None, dp: int | None = None):
                          (edge | ((F.col("prediction").cast("int") == 1) == rule)).alias("rule_ok"))
 
 
-_TEST_ROWS = S.with_corpus("""
-SELECT text_id, label, true AS class_ok, true AS range_ok, true AS rule_ok FROM holdout WHERE split = 'test'""", _SPLIT)
+def bounded(scored, m, train, test, log_loss: bool = True):
+    """Adds the bounds of the module's docstring to checked test rows."""
+    parts = train.select("text_id", "label", "text", F.lit("train").alias("split")).unionByName(
+        test.select("text_id", "label", "text", F.lit("test").alias("split")))
+    rows = materialize(md.predict(m, parts, ["label", "split"]), "bounds")
+    auc = {r["split"]: r["auc"] for r in ev.roc_auc(rows, groups=["split"]).collect()}
+    p = F.least(F.greatest(F.when(F.col("label") == 1, F.col("probability")).otherwise(1 - F.col("probability")), F.lit(1e-12)), F.lit(1.0))
+    in_test, share = F.col("split") == "test", F.lit(train.agg(F.avg("label")).first()[0])
+    prior, loss = rows.agg(F.avg(F.when(in_test, -F.log(F.when(F.col("label") == 1, share).otherwise(1 - share)))),
+                           F.avg(F.when(in_test, -F.log(p)))).first()
+    out = scored.withColumns({"train_auc_ok": F.lit(auc["train"] >= 0.8), "test_auc_ok": F.lit(auc["test"] > 0.5),
+                              "prior_log_loss": F.lit(round(prior, 6))})
+    return out.withColumn("log_loss_ok", F.lit(loss < prior)) if log_loss else out
+
+
+_BOUNDS = """, prior AS (SELECT round(avg(-ln(CASE WHEN h.label = 1 THEN t.p ELSE 1 - t.p END)), 6) AS prior_log_loss
+  FROM holdout h, (SELECT avg(label) AS p FROM holdout WHERE split = 'train') t WHERE h.split = 'test')"""
+
+
+def _test_rows(more: str = "", log_loss: bool = True) -> str:
+    loss = ", true AS log_loss_ok" if log_loss else ""
+    return S.with_corpus(f"""
+SELECT text_id, label, true AS class_ok, true AS range_ok, true AS rule_ok, true AS train_auc_ok, true AS test_auc_ok,
+  prior_log_loss{loss}{more} FROM holdout, prior WHERE split = 'test'""", _SPLIT + _BOUNDS)
+
+
 _BLIND_ROWS = S.with_corpus("""
 SELECT text_id, true AS class_ok, true AS range_ok, true AS rule_ok FROM corpus WHERE label IS NULL""")
 
 
-@register("fit_logreg", S.with_corpus("""
-SELECT text_id, label, true AS class_ok, true AS range_ok, true AS rule_ok, true AS stationary FROM holdout WHERE split = 'test'""", _SPLIT))
+@register("fit_logreg", _test_rows(", true AS stationary"))
 def fit_logreg(spark, sf):
-    """L2 logistic regression (C = 1.110118) on the training part; checked test predictions.
+    """L2 logistic regression (C = 1.110118) on the training part; checked and bounded test predictions.
     ``stationary``: at the optimum the mean probability of the training rows is their mean label (within
     0.02 after 100 iterations; a test checks the whole gradient at convergence)."""
     train, test = holdout(spark, sf)
     m = md.fit(train, "logreg", LR_PARAMS, CFG)
     gap = md.predict(m, train, ["label"]).agg(F.abs(F.avg("probability") - F.avg("label"))).first()[0]
-    return checked(md.predict(m, test, ["text_id", "label"])).withColumn("stationary", F.lit(gap < 0.02))
+    scored = checked(md.predict(m, test, ["text_id", "label"])).withColumn("stationary", F.lit(gap < 0.02))
+    return bounded(scored, m, train, test)
 
 
-@register("fit_gbt", _TEST_ROWS)
+@register("fit_gbt", _test_rows())
 def fit_gbt(spark, sf):
-    """gradient-boosted trees with class weight n_neg/n_pos; checked test predictions."""
+    """500 boosted trees with class weight n_neg/n_pos; checked and bounded test predictions."""
     train, test = holdout(spark, sf)
     m = md.fit(train, "gbt", {**GBT_PARAMS, "scale_pos_weight": _scale_pos_weight(train)}, CFG)
-    return checked(md.predict(m, test, ["text_id", "label"]))
+    return bounded(checked(md.predict(m, test, ["text_id", "label"])), m, train, test)
 
 
-@register("fit_gbt_early_stop", "SELECT true AS trees_ok, true AS val_auc_ok, true AS test_auc_ok, true AS best_ok FROM (SELECT count(*) FROM documents)")
+@register("fit_gbt_early_stop", S.with_corpus("""
+SELECT text_id, label, true AS class_ok, true AS range_ok, true AS rule_ok, true AS test_auc_ok, true AS val_auc_ok, true AS trees_ok
+FROM holdout WHERE split = 'test'""", _SPLIT))
 def fit_gbt_early_stop(spark, sf):
-    """trees chosen by the AUC of the inner 10 % validation part (patience 3): the kept model has as many
-    trees as reported and reaches the reported validation AUC."""
+    """boosted trees that stop growing by the AUC of the inner 10 % validation part (patience 3); checked
+    test predictions.  ``trees_ok``: the trees up to the best are kept and none was grown beyond it by more
+    than the patience; ``val_auc_ok``: the kept model reaches the reported validation AUC."""
     train, test = holdout(spark, sf)
-    inner = sp.inner_validation(train)
+    inner = materialize(sp.inner_validation(train), "inner")
     fit_part, val = inner.where("NOT is_validation"), inner.where("is_validation")
     m, n_trees, best = md.gbt_early_stopping(fit_part, val, GBT_PARAMS, CFG, rounds=3)
-    again = ev.roc_auc(md.predict(m, val, ["label"])).first()["auc"]
-    auc = ev.roc_auc(md.predict(m, test, ["label"])).first()["auc"]
-    row = (1 <= n_trees <= GBT_PARAMS["n_estimators"], 0.0 <= best <= 1.0, 0.0 <= auc <= 1.0,
-           m.stages[-1].getNumTrees == n_trees and abs(again - best) < 1e-9)
-    return spark.createDataFrame([row], "trees_ok boolean, val_auc_ok boolean, test_auc_ok boolean, best_ok boolean")
+    trees = m.stages[-1]
+    scored = materialize(md.predict(m, val.select("text_id", "label", "text", F.lit("val").alias("part")).unionByName(
+        test.select("text_id", "label", "text", F.lit("test").alias("part"))), ["text_id", "label", "part"]), "stopped")
+    auc = {r["part"]: r["auc"] for r in ev.roc_auc(scored, groups=["part"]).collect()}
+    grown_ok = trees.getNumTrees == n_trees and trees.grown <= min(n_trees + 3, GBT_PARAMS["n_estimators"])
+    return checked(scored.where("part = 'test'").drop("part")).withColumns({
+        "test_auc_ok": F.lit(auc["test"] > 0.5), "val_auc_ok": F.lit(abs(auc["val"] - best) < 1e-9), "trees_ok": F.lit(grown_ok)})
 
 
-@register("fit_rff_svm", _TEST_ROWS)
+@register("fit_rff_svm", _test_rows(log_loss=False))
 def fit_rff_svm(spark, sf):
     """RBF-SVM approximation (random Fourier features + linear SVM + Platt); the class is the margin's sign."""
     train, test = holdout(spark, sf)
     m = md.fit(train, "rff_svc", SVM_PARAMS, CFG)
     out = m.transform(test).withColumn("probability", vector_to_array("probability")[1])
-    return checked(out, rule=vector_to_array("svm_raw")[1] > 0)
+    return bounded(checked(out, rule=vector_to_array("svm_raw")[1] > 0), m, train, test, log_loss=False)
 
 
-@register("pipeline_fit_score", _TEST_ROWS)
+@register("pipeline_fit_score", _test_rows())
 def pipeline_fit_score(spark, sf):
-    """Stemming + sublinear 1-2 gram tf-idf + logistic, one pipeline; checked test scores."""
+    """Stemming + sublinear 1-2 gram tf-idf + logistic, one pipeline; checked and bounded test scores."""
     train, test = holdout(spark, sf)
     cfg = TfidfConfig(ngram_range=(1, 2), min_df=2, max_df=0.95, sublinear_tf=True, max_features=5000)
     m = md.fit(train, "logreg", LR_PARAMS, cfg, variant="stemming")
-    return checked(md.predict(m, test, ["text_id", "label"]))
+    return bounded(checked(md.predict(m, test, ["text_id", "label"])), m, train, test)
 
 
 @register("predict_blind", _BLIND_ROWS)

@@ -247,6 +247,14 @@ def search_svm(spark, sf):
                                      n_splits=QUERY_FOLDS), se.SVM_SPACE)
 
 
+@register("search_gbt", _seeded_sql(se.GBT_SPACE, ["gbt_base"]))
+def search_gbt(spark, sf):
+    """Boosted-tree search over all nine dimensions on fixed default vectors."""
+    train, _ = holdout(spark, sf)
+    return _recorded(sj.search_model(train, "gbt", TfidfConfig(), "base", shared_path(spark, "trials"), n_trials=QUERY_TRIALS,
+                                     n_splits=QUERY_FOLDS), se.GBT_SPACE)
+
+
 def _entries(results):
     return results.select("entry", F.col("test_auc").between(0, 1).alias("test_ok"), F.col("cv_auc").between(0, 1).alias("cv_ok"),
                           (F.col("TP") + F.col("FN")).cast("long").alias("positives"))

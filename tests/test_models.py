@@ -39,7 +39,9 @@ def test_predictions_are_probabilities_and_deterministic(spark, sf, train):
 
 def test_registry_rejects_unsupported(spark):
     with pytest.raises(ValueError):
-        md.build_classifier("gbt", {"reg_alpha": 0.1}, 10, False)
+        md.build_classifier("gbt", {"reg_alpha": -0.1}, 10, False)
+    with pytest.raises(ValueError):
+        md.build_classifier("gbt", {"tree_method": "exact"}, 10, False)
     with pytest.raises(ValueError):
         md.build_classifier("svm_magic", {}, 10, False)
 
