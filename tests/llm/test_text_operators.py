@@ -159,3 +159,55 @@ def test_url_rules_and_model(spark):
     assert (got[5].host, got[5].path) == ("x.net", "")
     with pytest.raises(ValueError):
         url_filter.longest_rule(F.lit(""), F.lit(""), [("x/", "block")] * 10_001)
+
+
+def test_quality_perplexity_equals_brute_force(spark, sf):
+    """Sharded counts against a dictionary Kneser-Ney model of the same sample."""
+    import collections
+    import math
+
+    import numpy as np
+    import pyarrow as pa
+    from lexis.llm.lm import BEGIN, discounts
+    from lexis.llm.registry import table
+    from lexis.llm.words import text_slices
+
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang").filter("doc_id < 120")
+    docs = docs.union(spark.createDataFrame([(900, "one two one two one", None), (901, "", None), (902, "one one one one", None)], docs.schema))
+    chosen = docs.filter("doc_id % 2 = 0").select("doc_id", "lang")
+    models = quality.fit(docs, chosen)
+    got = {r.doc_id: r for r in quality.perplexities(docs, models, {}).collect()}
+    rows = docs.collect()
+    for lang in {r.lang for r in rows}:
+        mine = [r for r in rows if r.lang == lang]
+
+        def tokens(texts, common):
+            (_, _, words), = text_slices(pa.record_batch([pa.array(texts, pa.string())], names=["text"]))
+            flow, before, sizes = quality.stream(words, quality.raw_tokens(words), common)
+            return np.split(flow, np.cumsum(sizes)[:-1])
+
+        texts = [r.text for r in mine if r.doc_id % 2 == 0]
+        (_, _, words), = text_slices(pa.record_batch([pa.array(texts, pa.string())], names=["text"]))
+        held = collections.Counter(quality.raw_tokens(words)[0].tolist())
+        common = np.array(sorted(w for w, n in held.items() if n >= quality.COMMON), np.uint64)
+        pairs = collections.Counter((a, b) for doc in tokens(texts, common) for a, b in zip([int(BEGIN), *doc.tolist()], doc.tolist()))
+        fans = collections.Counter(w for _, w in pairs)
+        of = collections.Counter()
+        for (v, _), n in pairs.items():
+            of[v] += n
+        d1, d2 = ([0, *discounts([sum(n == k for n in c.values()) for k in (1, 2, 3, 4)])] for c in (fans, pairs))
+        unknown = sum(d1[min(n, 3)] for n in fans.values()) / len(pairs) / (len(fans) + 1)
+        gamma = collections.Counter()
+        for (v, _), n in pairs.items():
+            gamma[v] += d2[min(n, 3)] / of[v]
+        for r in mine:
+            if not (r.text or "").split():
+                assert got[r.doc_id].perplexity is None
+                continue
+            doc = tokens([r.text], common)[0].tolist()
+            logs = 0.0
+            for v, w in zip([int(BEGIN), *doc], doc):
+                p1 = (fans[w] - d1[min(fans[w], 3)] if fans[w] else 0) / len(pairs) + unknown
+                n = pairs[v, w]
+                logs += math.log((max(n - d2[min(n, 3)], 0) / of[v] if n else 0) + (gamma[v] if of[v] else 1.0) * p1)
+            assert math.isclose(got[r.doc_id].perplexity, math.exp(-logs / len(doc)), rel_tol=1e-9)
