@@ -42,31 +42,20 @@ WORD_TOKEN_PATTERN = r"\b\w\w+\b"
 # C2 repair subset: the encoding repairs whose effect survives C7 (everything
 # non-ASCII becomes a space there), applied before C1.
 CONTROL_CHARS_PATTERN = r"[\x00-\x08\x0E-\x1F\x7F]"
-REPAIRED_MARKS = "’‘“”–—…"
+# Mojibake: UTF-8 bytes read as Latin-1 or cp1252.  cp1252 shows the bytes 80-9F
+# as other characters (five it leaves as they are); a garbled character is a lead
+# byte and its continuation bytes in either form.  Leads are those of Latin, Greek
+# and Cyrillic letters, of punctuation and symbols (E2 80-84), of full-width forms,
+# ligatures and the byte order mark (EF AC, BB-BD) and of emoji (F0 9F): others
+# start sequences that sound text may hold, such as a grave a, a blank and a mark.
 GARBLING_LEVELS = 3
-
-
-def _garbled(s: str) -> str:
-    """``s`` in UTF-8 bytes read as cp1252 (as Latin-1 where cp1252 has no character)."""
-    out = []
-    for b in s.encode("utf-8"):
-        try:
-            out.append(bytes([b]).decode("cp1252"))
-        except UnicodeDecodeError:
-            out.append(chr(b))
-    return "".join(out)
-
-
-def _garblings(mark: str) -> list[tuple[str, str]]:
-    """The mark garbled one to ``GARBLING_LEVELS`` times."""
-    out, s = [], mark
-    for _ in range(GARBLING_LEVELS):
-        s = _garbled(s)
-        out.append((s, mark))
-    return out
-
-
-MOJIBAKE_REPAIRS = sorted((pair for mark in REPAIRED_MARKS for pair in _garblings(mark)), key=lambda p: -len(p[0]))
+CP1252_SHOWN = {bytes([b]).decode("cp1252", "ignore"): chr(b) for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")}
+CP1252_FROM, CP1252_TO = "".join(CP1252_SHOWN), "".join(CP1252_SHOWN.values())
+_CONTINUED = "[\\x{80}-\\x{BF}" + CP1252_FROM + "]"
+MOJIBAKE_SEQUENCE = (f"[\u00c2-\u00c5\u00ce-\u00d1]{_CONTINUED}|\u00e2[\\x{{80}}-\\x{{84}}\u20ac\u201a\u0192\u201e]{_CONTINUED}|"
+                     f"\u00ef[\u00ac\u00bb-\u00bd]{_CONTINUED}|\u00f0[\\x{{9F}}\u0178]{_CONTINUED}{{2}}|"
+                     "\u00c6[\\x{92}\u2019]|\u00cb[\\x{86}\\x{9C}\u2020\u0153]")  # C6 92, CB 86 and CB 9C: letters that cp1252 shows
+SEAM = "\ue000"  # private use: marks where garbled characters begin and end
 # C1 control characters read as cp1252 quotes.
 C1_SINGLE_QUOTES, C1_DOUBLE_QUOTES = "\u0091\u0092", "\u0093\u0094"
 REFERENCE = "&#?[A-Za-z0-9]+;"
@@ -77,7 +66,7 @@ LIGATURES = [("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ"
 FULLWIDTH_FROM = "".join(chr(0xFF01 + i) for i in range(94)) + "　"
 FULLWIDTH_TO = "".join(chr(0x21 + i) for i in range(94)) + " "
 # The multi-character repairs can only match when one of these characters occurs.
-REPAIR_TRIGGER = "[â&\uFB00-\uFB06\u0132\u0133]"
+REPAIR_TRIGGER = "[&\uFB00-\uFB06\u0132\u0133]|" + MOJIBAKE_SEQUENCE
 
 
 def _single_char_map() -> tuple[str, str]:
@@ -135,15 +124,27 @@ def unescape_html(c) -> Column:
     return F.when(c.rlike(REFERENCE), F.concat(pieces[0], F.array_join(rest, ""))).otherwise(c)
 
 
+def decode_mojibake(c) -> Column:
+    """Every garbled character decoded once: back to its bytes, read as UTF-8.  A
+    text that holds the seam character stays as it is."""
+    c = _col(c)
+    pieces = F.split(F.regexp_replace(c, F.lit(f"({MOJIBAKE_SEQUENCE})"), F.lit(f"{SEAM}$1{SEAM}")), SEAM, -1)
+    plain = lambda p: F.decode(F.encode(F.translate(p, CP1252_FROM, CP1252_TO), "ISO-8859-1"), "UTF-8")
+    fixed = F.array_join(F.transform(pieces, lambda p, i: F.when(i % 2 == 1, plain(p)).otherwise(p)), "")
+    return F.when(F.instr(c, SEAM) > 0, c).otherwise(fixed)
+
+
 def fix_encoding(c) -> Column:
-    """C2 (native): control characters, mojibake of quotes, dashes and dots
-    (garbled up to three times), C1 controls, HTML entities (only when the text
-    has no '<'), full-width forms and Latin ligatures; then C1."""
+    """C2 (native): control characters, mojibake (Latin-1 or cp1252, garbled up to
+    three times), C1 controls, HTML entities (only when the text has no '<'),
+    full-width forms and Latin ligatures; then C1."""
     c = _re(_col(c), CONTROL_CHARS_PATTERN, "")
-    rep = _replace_all(c, MOJIBAKE_REPAIRS)
+    rep = c
+    for _ in range(GARBLING_LEVELS):
+        rep = decode_mojibake(rep)
     rep = F.when(F.instr(rep, "<") > 0, rep).otherwise(unescape_html(rep))
     rep = _replace_all(rep, LIGATURES)
-    c = F.when(c.rlike(REPAIR_TRIGGER), rep).otherwise(c)  # one scan instead of ~24 on clean texts
+    c = F.when(c.rlike(REPAIR_TRIGGER), rep).otherwise(c)  # one scan instead of many on clean texts
     return F.translate(c, SINGLE_FROM, SINGLE_TO)
 
 

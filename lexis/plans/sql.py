@@ -37,9 +37,19 @@ def normalize_quotes(e: str) -> str:
             f"{lit(chr(39) * len(tx.SINGLE_QUOTES) + chr(34) * len(tx.DOUBLE_QUOTES))})")
 
 
+def decode_mojibake(e: str) -> str:
+    """Code points of each garbled character as hexadecimal bytes, read as UTF-8."""
+    marked = f"regexp_replace({e}, {lit(f'({tx.MOJIBAKE_SEQUENCE})')}, {lit(tx.SEAM + chr(92) + '1' + tx.SEAM)}, 'g')"
+    codes = f"list_transform(string_split(translate(p, {lit(tx.CP1252_FROM)}, {lit(tx.CP1252_TO)}), ''), lambda ch: printf('%02X', unicode(ch)))"
+    return (f"array_to_string(list_transform(string_split({marked}, {lit(tx.SEAM)}), lambda p, i: "
+            f"CASE WHEN i % 2 = 0 THEN decode(unhex(array_to_string({codes}, ''))) ELSE p END), '')")
+
+
 def fix_encoding(e: str) -> str:
     e = _re(e, tx.CONTROL_CHARS_PATTERN, "")
-    rep = _replace_all(e, tx.MOJIBAKE_REPAIRS)
+    rep = e
+    for _ in range(tx.GARBLING_LEVELS):
+        rep = decode_mojibake(rep)
     rep = f"(CASE WHEN instr({rep}, '<') > 0 THEN {rep} ELSE {_replace_all(rep, ENTITIES)} END)"
     rep = _replace_all(rep, tx.LIGATURES)
     e = f"(CASE WHEN regexp_matches({e}, {lit(tx.REPAIR_TRIGGER)}) THEN {rep} ELSE {e} END)"

@@ -52,6 +52,21 @@ def test_fix_encoding_subset(spark):
     assert got == ["can't stop", "fish chips", "abc fine", "ctrlchar"]
 
 
+def test_fix_encoding_of_both_codecs(spark):
+    """Expected values are literals; the garbled forms are made by Python's codecs."""
+    garble = lambda t, codec, times=1: t if not times else garble("".join(
+        bytes([b]).decode(codec) if codec == "latin-1" or b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b) for b in t.encode()), codec, times - 1)
+    cases = [("it\u00e2\u0080\u0099s fine", "it's fine"), ("caf\u00c3\u00a9", "café"),
+             ("he said \u00e2\u0080\u009chello\u00e2\u0080\u009d", 'he said "hello"'), ("clean text here", "clean text here"),
+             ("hello\x00world", "helloworld"), ("voilà\u00a0» naïve Ärger â la carte", "voilà\u00a0\" naïve Ärger â la carte"),
+             ("garbled Ã©\ue000 seam", "garbled Ã©\ue000 seam"), (None, None), ("", "")]
+    for plain, fixed in (("don’t", "don't"), ("“naïve” café – Über €5…", '"naïve" café – Über €5…'), ("привет ελλάδα", "привет ελλάδα"),
+                         ("fire 🔥!", "fire 🔥!")):
+        cases += [(garble(plain, codec, times), fixed) for codec in ("latin-1", "cp1252") for times in (1, 2, 3)]
+    assert run(spark, tx.fix_encoding, [c[0] for c in cases]) == [c[1] for c in cases]
+    assert run(spark, tx.clean_text, ["it\u00e2\u0080\u0099s fine", "caf\u00c3\u00a9 \u00e2\u0080\u009chello\u00e2\u0080\u009d"]) == ["it's fine", "caf hello"]
+
+
 def test_variants(spark):
     gen = run(spark, cl.clean_general, ["I do not want this and never that"])[0].split()
     assert "not" in gen and "never" in gen and "and" not in gen and "this" not in gen
