@@ -17,27 +17,62 @@ from lexis.operators.tfidf import TfidfConfig
 from lexis.session import materialize
 
 
+class FoldTerms:
+    """Cleaned terms of a training part with their folds, and the frequencies of
+    every (term, fold), each written once: all trials with the same variant and
+    n-gram range share them.  A fold's vocabulary is the total less its own rows,
+    so no vocabulary or idf leaks from a held-out fold and nothing is counted twice."""
+
+    def __init__(self, train: DataFrame, ngram_range: tuple[int, int], variant: str = "base", n_splits: int = 5, seed: int = 42,
+                 text_col: str = "text"):
+        folds = sp.stratified_kfold(train, n_splits=n_splits, seed=seed)
+        cfg = TfidfConfig(ngram_range=ngram_range)
+        self.n_splits = n_splits
+        self.terms = materialize(md.prepare_terms(folds.select("text_id", "label", "fold", text_col), cfg, variant, text_col)
+                                 .drop(text_col), "cv-terms")
+        self.counts = materialize(md.term_counts(self.terms, "terms", ("fold",)), "cv-counts")
+        self.sizes = {r["fold"]: r["count"] for r in self.terms.groupBy("fold").count().collect()}  # a row per fold
+
+    def vectorizer(self, k: int, cfg: TfidfConfig) -> PipelineModel:
+        """The vectoriser fitted on all folds but ``k``."""
+        rest = self.counts.where(F.col("fold") != k).groupBy("term").agg(F.sum("df").alias("df"), F.sum("ttf").alias("ttf"))
+        fitted = md.TfidfVectorizer(inputCol="terms", outputCol="features", config=cfg)
+        return fitted.from_counts(rest, sum(n for f, n in self.sizes.items() if f != k))
+
+    def vectors(self, k: int, cfg: TfidfConfig) -> DataFrame:
+        """Features of all rows under fold ``k``'s vectoriser, written once."""
+        return materialize(self.vectorizer(k, cfg).transform(self.terms).select("label", "fold", "features"), "cv-vectors")
+
+
+def fold_auc(vectors: DataFrame, k: int, model: str, params: dict | None) -> tuple:
+    """Training and test AUC of the classifier fitted on all folds but ``k``."""
+    fitted = md.fit_on_vectors(vectors.where(F.col("fold") != k), model, params)
+    scored = md.predict(fitted, vectors, ["label", "fold"]).withColumn("held", F.col("fold") == k)
+    auc = {r["held"]: r["auc"] for r in ev.roc_auc(materialize(scored, "cv-scored"), groups=["held"]).collect()}
+    return auc.get(False), auc.get(True)
+
+
+def cross_validate_vectors(vectors: list[DataFrame], model: str, params: dict | None, parallelism: int = 5) -> DataFrame:
+    """F10 on the folds' vectors: ``(fold, train_auc, test_auc)``."""
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(vectors)))) as pool:
+        results = list(pool.map(lambda k: fold_auc(vectors[k], k, model, params), range(len(vectors))))
+    return vectors[0].sparkSession.createDataFrame([(k, tr, te) for k, (tr, te) in enumerate(results)],
+                                                   "fold int, train_auc double, test_auc double")
+
+
+def fold_vectors(folds: FoldTerms, cfg: TfidfConfig, parallelism: int = 5) -> list[DataFrame]:
+    """Every fold's vectors."""
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, folds.n_splits))) as pool:
+        return list(pool.map(lambda k: folds.vectors(k, cfg), range(folds.n_splits)))
+
+
 def cross_validate(train: DataFrame, model: str, params: dict | None, cfg: TfidfConfig, variant: str = "base",
                    n_splits: int = 5, seed: int = 42, text_col: str = "text", parallelism: int = 5) -> DataFrame:
     """per fold, the vectoriser and the classifier are refitted on the other
-    folds (no vocabulary or idf leaks from the held-out fold); cleaning and
-    term extraction are row-local, so they run once before the folds and the
-    prepared terms are written once to the shared folder.  Returns (fold, train_auc, test_auc)."""
-    folds = sp.stratified_kfold(train, n_splits=n_splits, seed=seed)
-    folds = materialize(md.prepare_terms(folds.select("text_id", "label", "fold", text_col), cfg, variant, text_col)
-                        .drop(text_col), "cv-terms")
-
-    def one(k: int) -> tuple:
-        fit_part = folds.where(F.col("fold") != k)
-        m = md.fit_on_terms(fit_part, model, params, cfg)
-        scored = materialize(md.predict(m, folds, ["label", "fold"]), "cv-scored")  # one scoring pass for both parts
-        return tuple(ev.roc_auc(scored.where(part)).first()["auc"] for part in (F.col("fold") != k, F.col("fold") == k))
-
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_splits))) as pool:
-        results = list(pool.map(one, range(n_splits)))
-    spark = train.sparkSession
-    return spark.createDataFrame([(k, tr, te) for k, (tr, te) in enumerate(results)],
-                                 "fold int, train_auc double, test_auc double")
+    folds; cleaning, terms and frequencies are computed once (``FoldTerms``).
+    Returns (fold, train_auc, test_auc)."""
+    folds = FoldTerms(train, cfg.ngram_range, variant, n_splits, seed, text_col)
+    return cross_validate_vectors(fold_vectors(folds, cfg, parallelism), model, params, parallelism)
 
 
 def evaluate_model(m: PipelineModel, labelled: DataFrame, id_col: str = "text_id") -> dict[str, DataFrame]:

@@ -106,18 +106,16 @@ class TfidfVectorizer(Estimator, HasInputCol, HasOutputCol):
         self.config = config
 
     def _fit(self, df: DataFrame) -> PipelineModel:
+        return self.from_counts(term_counts(df, self.getInputCol()), df.count())
+
+    def from_counts(self, counts: DataFrame, n_docs: int) -> PipelineModel:
+        """The fitted stages from ``counts(term, df, ttf)`` of ``n_docs`` documents."""
         cfg, terms = self.config, self.getInputCol()
-        df = df.select(terms).persist()  # several aggregates read the terms once computed
-        n_docs = df.count()
-        dfreq = (df.select(F.explode(F.array_distinct(terms)).alias("term")).groupBy("term")
-                 .agg(F.count(F.lit(1)).alias("df")))
-        ttf = df.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("ttf"))
-        vocab = tfm.limit_features(tfm.prune(dfreq.join(ttf, "term"), n_docs, cfg), cfg.max_features)
+        vocab = tfm.limit_features(tfm.prune(counts, n_docs, cfg), cfg.max_features)
         vocab = vocab.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1)) + 1)
         if cfg.max_features is None and vocab.limit(MAX_DRIVER_VOCAB + 1).count() > MAX_DRIVER_VOCAB:
             raise ValueError("vocabulary too large for a driver-side vector model; set max_features")
         rows = vocab.orderBy("term").select("term", "idf").collect()  # bounded by max_features
-        df.unpersist()
         if not rows:
             raise ValueError("empty vocabulary; perhaps the documents only contain stop words")
         words, idf = [r[0] for r in rows], [r[1] for r in rows]
@@ -131,6 +129,16 @@ class TfidfVectorizer(Estimator, HasInputCol, HasOutputCol):
         return PipelineModel(stages)
 
 
+def term_counts(df: DataFrame, terms: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """``(term, *by, df, ttf)`` in one aggregate: a row's terms are sorted in place,
+    so the first of equal neighbours counts the document and all count occurrences."""
+    rows = df.select(*by, F.array_sort(terms).alias("_s"))
+    s = F.col("_s")
+    marked = F.transform(s, lambda x, i: F.struct(x.alias("term"), ((i == 0) | (F.get(s, i - 1) != x)).cast("long").alias("first")))
+    return (rows.select(*by, F.explode(marked).alias("_e")).groupBy(F.col("_e.term").alias("term"), *by)
+            .agg(F.sum("_e.first").alias("df"), F.count(F.lit(1)).alias("ttf")))
+
+
 # --------------------------------------------------------------------------- random Fourier features
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -313,13 +321,17 @@ def prepare_terms(df: DataFrame, cfg: TfidfConfig = TfidfConfig(), variant: str
 def fit_on_terms(prepared: DataFrame, model: str = "gbt", model_params: dict | None = None,
                  cfg: TfidfConfig = TfidfConfig()) -> PipelineModel:
     """Fit vectoriser + classifier on rows that already carry ``terms``."""
+    vectors = TfidfVectorizer(inputCol="terms", outputCol="features", config=cfg).fit(prepared)
+    return PipelineModel([*vectors.stages, *fit_on_vectors(vectors.transform(prepared), model, model_params).stages])
+
+
+def fit_on_vectors(featured: DataFrame, model: str = "gbt", model_params: dict | None = None) -> PipelineModel:
+    """Fit the classifier on rows that already carry ``features``."""
     params = dict(model_params or {})
     spw = params.pop("scale_pos_weight", None)
-    data = with_class_weight(prepared, spw) if spw is not None else prepared
+    data = with_class_weight(featured, spw) if spw is not None else featured
     n = data.agg(F.sum("weight")).first()[0] if spw is not None else data.count()
-    stages = [TfidfVectorizer(inputCol="terms", outputCol="features", config=cfg),
-              *build_classifier(model, params, float(n or 0.0), spw is not None)]
-    return Pipeline(stages=stages).fit(data)
+    return Pipeline(stages=build_classifier(model, params, float(n or 0.0), spw is not None)).fit(data)
 
 
 def build_pipeline(model: str = "gbt", model_params: dict | None = None, cfg: TfidfConfig = TfidfConfig(),

@@ -66,6 +66,24 @@ def test_cross_validation_shape(spark, sf, train):
     assert all(0.0 <= r.test_auc <= 1.0 and 0.0 <= r.train_auc <= 1.0 for r in cv)
 
 
+def test_fold_vocabulary_is_the_total_less_the_fold(spark, train):
+    from lexis.operators import jobs
+    folds = jobs.FoldTerms(train, (1, 2), n_splits=3)
+    cfg = TfidfConfig(ngram_range=(1, 2), min_df=2, max_df=0.9, max_features=300)
+    for k in range(3):
+        refit = md.TfidfVectorizer(config=cfg).fit(folds.terms.where(F.col("fold") != k))
+        shared = folds.vectorizer(k, cfg)
+        assert refit.stages[0].vocabulary == shared.stages[0].vocabulary
+        assert np.allclose(refit.stages[1].getScalingVec().toArray(), shared.stages[1].getScalingVec().toArray())
+
+
+def test_term_counts_against_brute_force(spark):
+    rows = [(["b", "a", "b"], 0), (["a"], 1), ([], 1), (None, 0), (["a", "a", "c"], 1)]
+    df = spark.createDataFrame(rows, "terms array<string>, fold int")
+    got = {tuple(r) for r in md.term_counts(df, "terms", ("fold",)).collect()}
+    assert got == {("a", 0, 1, 1), ("b", 0, 1, 2), ("a", 1, 2, 3), ("c", 1, 1, 1)}
+
+
 def test_tree_queries_use_the_estimators_defaults():
     from lexis.operators.models import DEFAULT_GBT
     from lexis.plans.models import GBT_PARAMS
