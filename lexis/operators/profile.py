@@ -123,10 +123,10 @@ def placeholder_census(df: DataFrame, text_col: str = "text", label: str = "labe
 
 
 def duplicate_counts(df: DataFrame, id_col: str = "text_id", text_col: str = "title_text") -> DataFrame:
-    """Rows beyond the first per id and per exact text."""
+    """Rows beyond the first per id and per exact text (by its 256-bit digest, so no text is shuffled)."""
     return df.agg((F.count(F.lit(1)) - F.count_distinct(F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
                   .cast("long").alias("dup_by_id"),
-                  (F.count(F.lit(1)) - F.count_distinct(F.coalesce(F.col(text_col), F.lit(""))))
+                  (F.count(F.lit(1)) - F.count_distinct(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
                   .cast("long").alias("dup_by_text"))
 
 
