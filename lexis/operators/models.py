@@ -19,9 +19,8 @@ import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import DenseVector, SparseVector, Vectors, VectorUDT
+from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
@@ -76,27 +75,6 @@ class TermExtractor(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadabl
         return toks.withColumn(self.getOutputCol(), tx.ngrams(F.col("_w"), lo, hi)).drop("_w")
 
 
-@F.udf(VectorUDT(), useArrow=True)
-def _sublinear(v):
-    if isinstance(v, SparseVector):
-        return SparseVector(v.size, v.indices, np.log(v.values) + 1.0)
-    arr = v.toArray()
-    out = np.where(arr > 0, np.log(np.where(arr > 0, arr, 1.0)) + 1.0, 0.0)
-    return DenseVector(out)
-
-
-class SublinearTf(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """tf -> 1 + ln(tf) on the non-zero entries of a count vector (Arrow-batched)."""
-
-    @keyword_only
-    def __init__(self, inputCol="tf", outputCol="tf_sub"):
-        super().__init__()
-        self._set(**self._input_kwargs)
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.getOutputCol(), _sublinear(F.col(self.getInputCol())))
-
-
 class TfidfVectorizer(Estimator, HasInputCol, HasOutputCol):
     """D1-D9 as an Estimator over an array-of-terms column."""
 
@@ -119,20 +97,13 @@ class TfidfVectorizer(Estimator, HasInputCol, HasOutputCol):
         if not rows:
             raise ValueError("empty vocabulary; perhaps the documents only contain stop words")
         words, idf = [r[0] for r in rows], [r[1] for r in rows]
-        stages = [CountVectorizerModel.from_vocabulary(words, inputCol=terms, outputCol="_tf")]
-        src = "_tf"
-        if cfg.sublinear_tf:
-            stages.append(SublinearTf(inputCol="_tf", outputCol="_tfs"))
-            src = "_tfs"
-        stages += [ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol=src, outputCol="_tfidf"),
-                   Normalizer(p=2.0, inputCol="_tfidf", outputCol=self.getOutputCol())]
-        return PipelineModel(stages)
+        return tfm.vector_stages(words, idf, cfg, terms, self.getOutputCol())
 
 
 def term_counts(df: DataFrame, terms: str, by: tuple[str, ...] = ()) -> DataFrame:
     """``(term, *by, df, ttf)`` in one aggregate: a row's terms are sorted in place,
     so the first of equal neighbours counts the document and all count occurrences."""
-    rows = df.select(*by, F.array_sort(terms).alias("_s"))
+    rows = df.select(*by, F.sort_array(terms).alias("_s"))
     s = F.col("_s")
     marked = F.transform(s, lambda x, i: F.struct(x.alias("term"), ((i == 0) | (F.get(s, i - 1) != x)).cast("long").alias("first")))
     return (rows.select(*by, F.explode(marked).alias("_e")).groupBy(F.col("_e.term").alias("term"), *by)

@@ -139,12 +139,8 @@ FROM corpus c LEFT JOIN weights w ON c.text_id = w.text_id""", tfidf_ctes(DEFAUL
 def tfidf_vectors(spark, sf):
     """Sparse vectors (alphabetical index) of every document, one row per entry
     (a zero vector is one row without entry)."""
-    docs = clean_docs(spark, sf)
-    vocab, w = tf.fit_transform(docs, "text_id", "clean", DEFAULT)
-    v = tf.to_vectors(docs.select("text_id", "label"), w, "text_id", vocab.count())
-    parts = F.from_json(F.to_json(F.struct(F.unwrap_udt("features").alias("f"))),
-                        "f struct<size:long,indices:array<int>,values:array<double>>")["f"]
-    v = v.withColumn("_p", parts)
-    return v.select("text_id", "label", F.col("_p.size").alias("size"),
-                    F.explode_outer(F.arrays_zip("_p.indices", "_p.values")).alias("_e")).select(
-        "text_id", "label", "size", F.col("_e.indices").alias("index"), F.round("_e.values", 6).alias("value"))
+    vocab, words = tf.fit(clean_docs(spark, sf), "text_id", "clean", DEFAULT)
+    v = tf.vectors(words, vocab, DEFAULT)
+    return v.select("text_id", "label", F.unwrap_udt("features")["size"].cast("long").alias("size"),
+                    F.explode_outer(tf.entries()).alias("_e")).select(
+        "text_id", "label", "size", "_e.index", F.round("_e.value", 6).alias("value"))
