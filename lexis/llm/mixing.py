@@ -2,9 +2,11 @@
 
 Per source: documents are counted by exact size; whole copies of the source
 cover the integral part of its target; of the remaining budget each size class
-first gives its proportional share, and a bounded-knapsack dynamic programme
-over the classes' leftover counts fits what is left as closely as sums of sizes
-can.  The documents of a class are then chosen in seeded hash order.
+first gives its proportional share, rounded by a seeded cumulative rule so that
+classes of one document take their turn at every size, and a bounded-knapsack
+dynamic programme over the classes' leftover counts fits what is left as closely
+as sums of sizes can.  The documents of a class are then chosen in seeded hash
+order.
 
 Scale: only (source, size) counts reach the fitting, one group per source (as
 many rows as a source has distinct sizes); the programme's table is bounded by
@@ -70,28 +72,60 @@ def targets(sources: DataFrame, weights: Sequence[float], share: float, most: fl
         "source", "rank", "source_size", "target")
 
 
-def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many items of each size to take, ``counts`` at most, so that the sum
-    is the largest reachable one not above ``budget`` among fits that give every
-    class its proportional share first."""
+def proportional(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.ndarray:
+    """Whole shares of the classes, about ``budget`` words in all and not above.
+
+    The floor of a class's exact share is taken first.  The fractions that are
+    left are summed over the classes in order of size; a class takes one more
+    item each time its sum passes the next whole number after a seeded start.
+    So neighbouring sizes take turns, and the extra items follow the sizes'
+    spread instead of going to the longest; those that would pass the budget
+    are given back, spread the same way."""
+    total = int((sizes * counts).sum())
+    share = [divmod(int(budget) * int(c), total) if s else (0, 0) for s, c in zip(sizes, counts)]
+    take = np.array([whole for whole, _ in share], np.int64)
+    order = np.argsort(sizes, kind="stable")
+    start = int(np.random.default_rng(seed).integers(total))
+    passed, extra = start, []
+    for i in order:
+        before, passed = passed // total, passed + share[i][1]
+        if passed // total > before and take[i] < counts[i]:
+            extra.append(i)
+    take[extra] += 1
+    over = int((take * sizes).sum()) - int(budget)
+    for i in np.random.default_rng(seed + 1).permutation(np.array(extra, np.int64)):
+        if over <= 0:
+            break
+        take[i] -= 1
+        over -= int(sizes[i])
+    return take
+
+
+def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int = 42) -> np.ndarray:
+    """How many items of each size to take, ``counts`` at most.  Every class
+    gives its proportional share first; what is left of the budget, at most a
+    few items, is the largest sum the leftover counts can reach within it.  Where
+    it is still above ``TABLE`` (items longer than that), leftover items are
+    taken in a seeded order until it is below."""
     total = int((sizes * counts).sum())
     take = np.zeros(len(sizes), np.int64)
     if total == 0 or budget <= 0:
         return take
     if budget >= total:
         return np.where(sizes > 0, counts, 0)
-    take = np.array([int(budget) * int(c) // total if s else 0 for s, c in zip(sizes, counts)], np.int64)
+    take = proportional(sizes, counts, budget, seed)
     rest = int(budget) - int((take * sizes).sum())
-    for i in np.argsort(-sizes):  # down to what the table can hold
+    for i in np.random.default_rng(seed + 2).permutation(len(sizes)):
         size, left = int(sizes[i]), int(counts[i] - take[i])
-        if rest <= TABLE or size == 0:
+        if rest <= TABLE:
             break
-        more = min(left, max(0, -(-(rest - TABLE) // size)), rest // size)
-        take[i] += more
-        rest -= more * size
+        if size:
+            more = min(left, -(-(rest - TABLE) // size), rest // size)
+            take[i] += more
+            rest -= more * size
     table = min(rest, TABLE)
     parts = []  # (class, copies): binary splitting of each leftover count
-    for i in np.argsort(sizes):
+    for i in np.argsort(-sizes):  # long items first: the rest is filled by few
         size, left, step = int(sizes[i]), int(counts[i] - take[i]), 1
         left = min(left, table // size) if size else 0
         while left > 0:
@@ -115,10 +149,10 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
     return take
 
 
-def _fit(group: pd.DataFrame) -> pd.DataFrame:
+def _fit(group: pd.DataFrame, seed: int) -> pd.DataFrame:
     size, target = int(group["source_size"].iloc[0]), float(group["target"].iloc[0])
     whole = int(target // size) if size else 0
-    take = fit_budget(group["size"].to_numpy(), group["c"].to_numpy(), int(target - whole * size))
+    take = fit_budget(group["size"].to_numpy(), group["c"].to_numpy(), int(target - whole * size), seed)
     return pd.DataFrame({"rank": group["rank"], "size": group["size"], "c": group["c"], "whole": whole, "take": take})
 
 
@@ -137,7 +171,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
     tagged = sized.join(plan.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     classes = tagged.groupBy("rank", "size", "source_size", "target").agg(F.count("*").alias("c"))
     chosen = materialize(classes.groupBy("rank").applyInPandas(
-        _fit, "rank int, size long, c long, whole long, take long"), "chosen")
+        lambda group: _fit(group.sort_values("size"), seed), "rank int, size long, c long, whole long, take long"), "chosen")
     bucket = F.pmod(F.shiftrightunsigned(F.col("__draw"), 8), F.ceil(F.col("c") / BUCKET)).alias("bucket")
     drawn = tagged.join(chosen, ["rank", "size"]).withColumn("bucket", bucket)
     part = drawn.filter("take > 0 and take < c")

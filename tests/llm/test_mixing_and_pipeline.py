@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from lexis.llm import mixing
-from lexis.llm.mixing import fit_budget, mix_sources
+from lexis.llm.mixing import fit_budget, mix_sources, proportional
 
 
 def test_fit_budget_is_the_best_sum():
@@ -20,8 +20,9 @@ def test_fit_budget_is_the_best_sum():
         budget = rnd.randrange(0, 150)
         take = fit_budget(sizes, counts, budget)
         assert ((0 <= take) & (take <= counts)).all() and (take * sizes).sum() <= budget
-        start = [int(budget * c // max((sizes * counts).sum(), 1)) if s else 0 for s, c in zip(sizes, counts)]
-        if budget < (sizes * counts).sum():
+        if 0 < budget < (sizes * counts).sum():
+            start = proportional(sizes, counts, budget, 42)
+            assert (start <= counts).all() and (start * sizes).sum() <= budget
             best = max(sum(k * int(s) for k, s in zip(ks, sizes)) for ks in itertools.product(
                 *[range(a, c + 1) for a, c in zip(start, counts)]) if sum(k * int(s) for k, s in zip(ks, sizes)) <= budget)
             assert (take * sizes).sum() == best
@@ -29,6 +30,25 @@ def test_fit_budget_is_the_best_sum():
     assert (big * np.arange(1, 3000)).sum() == 2_000_000_123
 
 
+@pytest.mark.parametrize("each", [1, 5, 20])
+@pytest.mark.parametrize("part", [0.1, 0.5, 0.85])
+def test_taken_shares_do_not_follow_length(each, part):
+    sizes, counts = np.arange(1, 2001), np.full(2000, each)
+    budget = int(part * (sizes * counts).sum())
+    take = fit_budget(sizes, counts, budget)
+    assert (take * sizes).sum() == budget and (take <= counts).all()
+    for quarter in np.split(np.arange(2000), 4):
+        assert abs(take[quarter].sum() / counts[quarter].sum() - part) < 0.06
+    if each == 1:  # the seed decides where shares are not whole
+        assert any((fit_budget(sizes, counts, budget, seed=s) != take).any() for s in range(8))
+
+
+def test_items_longer_than_the_table():
+    sizes, counts = np.array([0, 70_000, 90_000, 1_000_000]), np.array([5, 3, 2, 2])
+    take = fit_budget(sizes, counts, 1_200_000)
+    assert (take <= counts).all() and 0 <= 1_200_000 - (take * sizes).sum() <= 1_000_000 and take[0] == 0
+
+
 def water_fill(sizes, weights):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
