@@ -293,7 +293,7 @@ def fit_on_terms(prepared: DataFrame, model: str = "gbt", model_params: dict | N
                  cfg: TfidfConfig = TfidfConfig()) -> PipelineModel:
     """Fit vectoriser + classifier on rows that already carry ``terms``."""
     vectors = TfidfVectorizer(inputCol="terms", outputCol="features", config=cfg).fit(prepared)
-    return PipelineModel([*vectors.stages, *fit_on_vectors(vectors.transform(prepared), model, model_params).stages])
+    return PipelineModel([vectors, *fit_on_vectors(vectors.transform(prepared), model, model_params).stages])
 
 
 def fit_on_vectors(featured: DataFrame, model: str = "gbt", model_params: dict | None = None) -> PipelineModel:
@@ -370,4 +370,4 @@ def gbt_early_stopping(train: DataFrame, val: DataFrame, params: dict, cfg: Tfid
     rest = {k: v for k, v in params.items() if k != "scale_pos_weight"} | {"early_stopping_rounds": rounds}
     gbt = BoostedTrees(boost_params(rest), weightCol="weight" if spw is not None else None, heldCol="held")
     fitted = gbt.fit(vectors.transform(data))
-    return PipelineModel([cleaner, terms, *vectors.stages, fitted]), fitted.getNumTrees, float(max(fitted.aucs))
+    return PipelineModel([cleaner, terms, vectors, fitted]), fitted.getNumTrees, float(max(fitted.aucs))
