@@ -9,9 +9,11 @@ whose triangle-inequality bound, times ``factor``, exceeds the distance of their
 k-th neighbour so far: factor 1 is exact search, larger factors prune more.
 Per query, each shard returns at most k rows, merged by rank.
 
-Queries are a stated set held against all rows in blocks.  Cosines that agree to
-12 decimals count as ties, which go to the smaller id; the score is the cosine
-of the original vectors in double precision.
+Queries are a stated set held against all rows in blocks.  Block products only
+tell which candidates can be among the best, with room for rounding; those are
+ranked by the cosine of their own two vectors in double precision, the score,
+and equal scores go to the smaller id.  Vectors are first scaled by a power of
+two, which changes no digit, so very long and very short ones compare alike.
 
 Defined cases: vectors that are null, zero, or hold a null or non-finite
 component, and rows without an id, take no part; a query id that is repeated is
@@ -29,14 +31,17 @@ from pyspark.sql import functions as F
 
 SHARD, BLOCK, LEAF = 8192, 1024, 256
 SLACK = 1e-6  # rounding of distances near zero
+NEAR = 1e-9  # rounding of a block product
+PAIRS = 1 << 15
 
 
 class Tree:
     """Vantage-point tree over unit vectors; a node is a vantage point, the
     range of distances of its near and far halves, and the halves."""
 
-    def __init__(self, unit: np.ndarray):
-        self.unit = unit
+    def __init__(self, vectors: np.ndarray):
+        self.vectors, self.length = vectors, np.linalg.norm(vectors, axis=1)
+        self.unit = unit = vectors / self.length[:, None]
         self.root = self._build(np.arange(len(unit)))
 
     def _build(self, rows: np.ndarray):
@@ -54,20 +59,28 @@ class Tree:
     def nearest(self, queries: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int, factor: float):
         """Positions and cosines of the k nearest rows of each query (-1: none);
         ``own`` is each query's id, which is no candidate."""
+        given, size = queries, np.linalg.norm(queries, axis=1)
+        queries = queries / size[:, None]
         found = np.full((len(queries), k), -1, np.int64)
         score = np.full((len(queries), k), -np.inf)
 
         def offer(asks: np.ndarray, rows: np.ndarray):
             cosine = queries[asks] @ self.unit[rows].T
             cosine[ids[rows][None, :] == own[asks][:, None]] = -np.inf
-            every = np.concatenate([score[asks], cosine], axis=1)
-            where = np.concatenate([found[asks], np.broadcast_to(rows, cosine.shape)], axis=1)
-            if every.shape[1] > 4 * k:  # keep what can be among the best, ties included
-                floor = np.partition(np.round(every, 12), every.shape[1] - k, axis=1)[:, -k][:, None]
-                every = np.where(np.round(every, 12) >= floor, every, -np.inf)
+            floor = score[asks, k - 1]
+            if len(rows) > k:
+                floor = np.maximum(floor, np.partition(cosine, len(rows) - k, axis=1)[:, -k])
+            ask, row = np.nonzero((cosine >= floor[:, None] - NEAR) & (cosine > -np.inf))
+            exact = np.full(cosine.shape, -np.inf)
+            for a in range(0, len(ask), PAIRS):
+                i, j = ask[a:a + PAIRS], row[a:a + PAIRS]
+                product = np.einsum("ij,ij->i", given[asks[i]], self.vectors[rows[j]])
+                exact[i, j] = product / (size[asks[i]] * self.length[rows[j]])
+            every = np.concatenate([score[asks], exact], axis=1)
+            where = np.concatenate([found[asks], np.broadcast_to(rows, exact.shape)], axis=1)
             name = np.where(where >= 0, ids[where], np.iinfo(np.int64).max)
             by_id = np.argsort(name, axis=1, kind="stable")
-            shown = np.take_along_axis(np.round(every, 12), by_id, 1)
+            shown = np.take_along_axis(every, by_id, 1)
             best = np.take_along_axis(by_id, np.argsort(-shown, axis=1, kind="stable")[:, :k], 1)
             score[asks], found[asks] = np.take_along_axis(every, best, 1), np.take_along_axis(where, best, 1)
 
@@ -100,8 +113,10 @@ def _distance(cosine: np.ndarray) -> np.ndarray:
 
 
 def _matrix(table: pa.Table, name: str) -> np.ndarray:
+    """The vectors, each scaled by the power of two that brings its largest entry to 0.5 .. 1."""
     values = table.column(name).combine_chunks()
-    return values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(values), -1)
+    rows = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(values), -1)
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1))[1][:, None])
 
 
 def _unit_search(k: int, factor: float):
@@ -110,15 +125,11 @@ def _unit_search(k: int, factor: float):
         if rows.num_rows and asks.num_rows:
             rows, asks = rows.sort_by([("__id", "ascending")]), asks.sort_by([("__ask_id", "ascending")])
             base, query = _matrix(rows, "__vector"), _matrix(asks, "__ask_vector")
-            length, size = np.linalg.norm(base, axis=1), np.linalg.norm(query, axis=1)
             ids, own = rows.column("__id").to_numpy(), asks.column("__ask_id").to_numpy()
             mixed = np.random.default_rng(1).permutation(len(base))  # vantage points at random
-            tree = Tree((base / length[:, None])[mixed])
-            found, _ = tree.nearest(query / size[:, None], ids[mixed], own, k, factor)
+            found, score = Tree(base[mixed]).nearest(query, ids[mixed], own, k, factor)
             ask, rank = np.nonzero(found >= 0)
-            at = mixed[found[ask, rank]]
-            out = {"query_id": own[ask], "vec_id": ids[at],
-                   "score": np.einsum("ij,ij->i", query[ask], base[at]) / (size[ask] * length[at])}
+            out = {"query_id": own[ask], "vec_id": ids[mixed[found[ask, rank]]], "score": score[ask, rank]}
         return pa.table({n: pa.array(v, pa.float64() if n == "score" else pa.int64()) for n, v in out.items()})
     return run
 
@@ -149,6 +160,6 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, factor: float = 1.0
     found = base.groupBy("__dim", "__shard", "__block").cogroup(
         asks.groupBy("__ask_dim", "__ask_shard", "__ask_block")).applyInArrow(
         _unit_search(k, factor), "query_id long, vec_id long, score double")
-    by_rank = W.partitionBy("query_id").orderBy(F.round("score", 12).desc(), "vec_id")
+    by_rank = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(by_rank)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -57,3 +57,27 @@ def test_pruned_tree_is_exact_and_factor_prunes():
         vp_search.LEAF = old
         assert np.allclose(exact, want)
         assert (np.isclose(loose, want)).mean() > 0.5
+
+
+def test_very_long_and_very_short_vectors(spark, monkeypatch):
+    monkeypatch.setattr(vp_search, "SHARD", 700)
+    rng = np.random.default_rng(6)
+    plain = rng.normal(size=(2000, 8))
+    factor = np.ones(2000)
+    factor[rng.choice(2000, 60, replace=False)] = np.repeat([2.0 ** -700, 2.0 ** 700, 2.0 ** -1000], 20)  # about 1e-211, 1e210, 1e-301
+    lists = [nearest(spark.createDataFrame([(i, (v * f).tolist()) for i, (v, f) in enumerate(zip(plain, scale))], "vec_id long, embedding array<double>"),
+                     F.col("vec_id") % 50 == 0, 5).collect() for scale in (np.ones(2000), factor)]
+    assert sorted(map(tuple, lists[0])) == sorted(map(tuple, lists[1]))
+    unit = plain / np.linalg.norm(plain, axis=1, keepdims=True)
+    every = unit[::50] @ unit.T
+    every[np.arange(40), np.arange(0, 2000, 50)] = -np.inf
+    got = {(r.query_id, r.rank): r.vec_id for r in lists[1]}
+    assert all(got[q * 50, r + 1] == i for q, row in enumerate(every) for r, i in enumerate(np.argsort(-row)[:5]))
+
+
+def test_cosines_closer_than_rounding_keep_their_order(spark):
+    turn = [1e-7 * (9 - i) for i in range(9)]  # cosines 1 - turn^2 / 2, at most 4e-13 apart
+    rows = [(0, [1.0, 0.0])] + [(i + 1, [1.0, t]) for i, t in enumerate(turn)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [r.vec_id for r in nearest(df, F.col("vec_id") == 0, 5).orderBy("rank").collect()]
+    assert got == [9, 8, 7, 6, 5]
