@@ -7,10 +7,11 @@ is known scores the word with the mean of its known grams.  A text's score adds
 its words' log posteriors under equal priors.
 
 The classifier is fitted on a bounded sample of labelled rows: about
-``max_docs`` documents, drawn by a hash of doc_id and text, of which the
-``max_words`` most frequent words and ``max_grams`` most frequent grams are
-kept.  These bounds make the model a broadcast of fixed size; prediction reads
-every whole text.
+``max_docs`` documents of each language, drawn by a hash of doc_id and text, so
+a rare language is learned from as many rows as a frequent one.  The
+``max_words`` words and ``max_grams`` grams per length that are most frequent
+within some language are kept.  These bounds make the model a broadcast of fixed
+size per language; prediction reads every whole text.
 
 Defined cases: null text or text without a letter is ``und`` with score 0; ties
 go to the first language in code-point order; with no labelled rows every text
@@ -140,29 +141,36 @@ class Model:
         return out - top - np.log(np.exp(out - top).sum(axis=1, keepdims=True))
 
 
-def fit(labelled: DataFrame, max_docs: int = 8_000, max_words: int = 200_000, max_grams: int = 100_000) -> Model:
-    """Fits on a sample of about ``max_docs`` rows of ``labelled(doc_id, text, lang)``."""
+def sample_share(count: int, max_docs: int) -> float:
+    """The part of a language's rows that is learned from; above 0 at any count."""
+    return min(1.0, max_docs / max(count, 1))
+
+
+def fit(labelled: DataFrame, max_docs: int = 3_000, max_words: int = 200_000, max_grams: int = 100_000) -> Model:
+    """Fits on a sample of about ``max_docs`` rows of each language of ``labelled(doc_id, text, lang)``."""
     rows = labelled.select("doc_id", "text", "lang").filter("text is not null and lang is not null")
-    total = rows.count()
-    part = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1_000_000))
-    sample = rows.filter(part < int(1_000_000 * min(1.0, max_docs / max(total, 1)))) if total > max_docs else rows
-    counts = materialize(sample.mapInArrow(_counts, "lang string, kind int, name long, n long")
-                         .groupBy("lang", "kind", "name").agg(F.sum("n").alias("n")), "language-counts")
-    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
+    held = dict(rows.groupBy("lang").count().collect())  # one row per language
+    langs = sorted(held)
+    code = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int") - 1 if langs else F.lit(0)
+    share = F.get(F.array(*[F.lit(sample_share(held[x], max_docs)) for x in langs]), code) if langs else F.lit(0.0)
+    draw = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / F.lit(float(1 << 53))
+    counts = materialize(rows.filter(draw < share).mapInArrow(_counts, "lang string, kind int, name long, n long")
+                         .withColumn("code", code).groupBy("code", "kind", "name").agg(F.sum("n").alias("n")), "language-counts")
+    columns = [str(i) for i in range(len(langs))]
     names, logs = [], []
     for kind in range(LONGEST + 1):
-        mine = counts.filter(F.col("kind") == kind)
-        totals = dict(mine.groupBy("lang").agg(F.sum("n")).collect())
-        table = (mine.groupBy("name").pivot("lang", langs).agg(F.sum("n")).na.fill(0) if langs else None)
-        if table is None:
+        if not langs:
             names.append(np.empty(0, np.uint64))
             logs.append(np.empty((0, 0)))
             continue
-        every = sum((F.col(f"`{lang}`") for lang in langs), F.lit(0))
-        top = table.orderBy(every.desc(), "name").limit(max_words if kind == 0 else max_grams).toPandas()
+        mine = counts.filter(F.col("kind") == kind)
+        totals = dict(mine.groupBy("code").agg(F.sum("n")).collect())
+        size = np.array([totals.get(i, 0) for i in range(len(langs))], np.float64)
+        table = mine.groupBy("name").pivot("code", list(range(len(langs)))).agg(F.sum("n")).na.fill(0)
+        often = F.array_max(F.array(*[F.col(c) / F.lit(max(float(n), 1.0)) for c, n in zip(columns, size)]))
+        top = table.orderBy(often.desc(), "name").limit(max_words if kind == 0 else max_grams).toPandas()
         name = top["name"].to_numpy(np.int64).view(np.uint64)
-        n = top[langs].to_numpy(np.float64)
-        size = np.array([totals.get(lang, 0) for lang in langs], np.float64)
+        n = top[columns].to_numpy(np.float64)
         order = np.argsort(name)
         names.append(name[order])
         logs.append(np.log((n[order] + 0.1) / (size + 0.1 * (len(name) + 1))))

@@ -211,3 +211,15 @@ def test_quality_perplexity_equals_brute_force(spark, sf):
                 n = pairs[v, w]
                 logs += math.log((max(n - d2[min(n, 3)], 0) / of[v] if n else 0) + (gamma[v] if of[v] else 1.0) * p1)
             assert math.isclose(got[r.doc_id].perplexity, math.exp(-logs / len(doc)), rel_tol=1e-9)
+
+
+def test_rare_languages_are_sampled_like_frequent_ones(spark):
+    assert language_id.sample_share(10 ** 10, 3_000) == 3e-7 and language_id.sample_share(2, 3_000) == 1.0
+    rows = [(i, f"alpha beta gamma delta {i}", "name") for i in range(30_000)]
+    rows += [(100_000 + i, "ключ вода зима", "odd`lang") for i in range(3)]
+    rows += [(200_000 + i, "uno dos tres", "1") for i in range(40)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(train, max_docs=200, max_words=12, max_grams=60)
+    assert model.langs == ["1", "name", "odd`lang"] and len(model.names[0]) <= 12
+    asked = spark.createDataFrame([(1, "вода зима"), (2, "beta gamma"), (3, "dos tres")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in language_id.identify(asked, model).collect()} == {1: "odd`lang", 2: "name", 3: "1"}
