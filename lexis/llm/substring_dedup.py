@@ -63,6 +63,16 @@ def _run_bounds(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, np.uint32).reshape(-1, 2).astype(np.int64)
 
 
+def _by_shard(at: np.ndarray, shard: np.ndarray) -> dict[int, np.ndarray]:
+    """The positions of each shard that occurs, in their order."""
+    if not len(at):
+        return {}
+    order = np.argsort(shard, kind="stable")
+    told = shard[order]
+    cuts = np.flatnonzero(told[1:] != told[:-1]) + 1
+    return dict(zip(told[np.append(0, cuts)].tolist(), np.split(at[order], cuts)))
+
+
 class _Buffer:
     """Windows of some documents, combined and dealt to shards on ``flush``.
 
@@ -104,13 +114,13 @@ class _Buffer:
         heavy, repeated = order[again & head], np.zeros(len(order), bool)
         repeated[order] = again
         known_home = (rids.view(np.uint64) % U64(self.shards)).astype(np.int32)
-        for s in range(self.shards):
-            ask = np.flatnonzero(~repeated & (shard == s))
-            strong = heavy[shard[heavy] == s]
-            told = np.flatnonzero(known_home == s)
-            mine = np.flatnonzero(repeated & np.isin(doc, told)) if len(told) else np.empty(0, np.int64)
-            if not (len(ask) or len(strong) or len(mine)):
-                continue
+        alone, told = np.flatnonzero(~repeated), np.flatnonzero(repeated)
+        asks = _by_shard(alone, shard[alone])
+        strongs = _by_shard(heavy, shard[heavy])
+        mines = _by_shard(told, known_home[doc[told]])
+        none = np.empty(0, np.int64)
+        for s in sorted({*asks, *strongs, *mines}):
+            ask, strong, mine = (part.get(s, none) for part in (asks, strongs, mines))
             owners, counts = np.unique(doc[ask], return_counts=True)
             run_docs, runs = _to_runs(doc[mine], places[mine])
             known_docs, run_counts = np.unique(run_docs, return_counts=True)

@@ -55,3 +55,23 @@ def test_query_digest(spark, sf):
     want = {d: (n, k, hashlib.sha256(t.encode()).hexdigest()) for (d, _), (n, k, t) in zip(rows, brute([r[1] for r in rows], 35))}
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in QUERIES["op9_substring_dedup"](spark, sf).collect()}
     assert got == want
+
+
+def test_a_buffer_costs_the_same_at_any_number_of_shards(monkeypatch):
+    import numpy as np
+    from lexis.llm import substring_dedup as sd
+    rng = np.random.default_rng(3)
+    first = rng.integers(0, 2 ** 63, 400).astype(np.uint64)
+    first[50:60] = first[40:50]
+    for exact in (True, False):
+        for shards in (11, 625, 40_000, 10_000_000):
+            buffer = sd._Buffer(shards, exact)
+            for row in range(8):
+                at = slice(row * 50, row * 50 + 50)
+                buffer.add(row * 7919, first[at], (first[at] >> np.uint64(5)).astype(np.uint32), np.arange(50))
+            batches = list(buffer.flush())
+            told = [b.column(0)[0].as_py() for b in batches]
+            assert told == sorted(set(told)) and len(told) <= 398 + 8  # one per shard that occurs
+            asked = sum(len(b.column(3)[0].as_py()) for b in batches) // (8 if exact else 4)
+            known = sum(len(np.frombuffer(b.column("known_rids")[0].as_py(), np.int64)) for b in batches)
+            assert asked == 380 and known == 2
