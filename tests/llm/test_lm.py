@@ -81,3 +81,11 @@ def test_held_out_documents_score_above_the_base(spark, sf):
     rows = QUERIES["op4_lm_scoring"](spark, sf).filter("held_out").collect()
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
     assert np.isfinite([r.score for r in rows]).all()
+
+
+def test_split_visits_only_shards_that_occur():
+    import numpy as np
+    from lexis.llm import lm
+    shard = np.array([5, 2, 5, 39_999, 2, 0])
+    assert [(s, at.tolist()) for s, at in lm._split(shard, 1 << 60)] == [(0, [5]), (2, [1, 4]), (5, [0, 2]), (39_999, [3])]
+    assert list(lm._split(shard[:0], 1 << 60)) == []
