@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from lexis.functions import text as tx
 from lexis.operators.nulls import is_deleted, is_removed
-from lexis.operators.rank import top_k_per_group
+from lexis.operators.rank import exact_percentiles, top_k_per_group, value_counts
+from lexis.session import materialize
 
 DESCRIBE_PROBS = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 DESCRIBE_NAMES = ["p01", "p05", "p25", "p50", "p75", "p95", "p99"]
@@ -49,19 +50,26 @@ def class_weight(df: DataFrame, label: str = "label") -> DataFrame:
 def length_describe(lens: DataFrame) -> DataFrame:
     """H4/H6: count, mean, sample std, min, percentiles, max for n_chars and n_tokens, 1 dp.
 
-    Exact ``percentile`` keeps a value->count map; document lengths have a
-    bounded number of distinct values, so the buffer stays small at any scale."""
-    rows = []
-    for m in ("n_chars", "n_tokens"):
-        pct = F.percentile(F.col(m), F.array(*[F.lit(p) for p in DESCRIBE_PROBS]))
-        rows.append(lens.agg(
-            F.lit(m).alias("measure"), F.count(m).cast("long").alias("count"),
-            F.round(F.avg(m), 1).alias("mean"), F.round(F.stddev_samp(m), 1).alias("std"),
-            F.round(F.min(m).cast("double"), 1).alias("min"), pct.alias("_p"),
-            F.round(F.max(m).cast("double"), 1).alias("max"),
-        ).select("measure", "count", "mean", "std", "min",
-                 *[F.round(F.col("_p")[i], 1).alias(n) for i, n in enumerate(DESCRIBE_NAMES)], "max"))
-    return rows[0].unionByName(rows[1])
+    One pass over the documents writes the counts of the distinct lengths; every
+    figure is taken from that table, the percentiles by running counts per bucket
+    (``exact_percentiles``), so no task holds all lengths of a measure."""
+    measures = ("n_chars", "n_tokens")
+    long = lens.select(F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("long").alias("length"))
+                                           for m in measures])).alias("_m")).select("_m.*")
+    values = materialize(value_counts(long, ["measure"], "length"), "lengths")
+    v, n = F.col("value"), F.col("n")
+    base = values.groupBy("measure").agg(F.sum("n").alias("count"), (F.sum(v * n) / F.sum("n")).alias("_mean"),
+                                         F.min("value").alias("_min"), F.max("value").alias("_max"))
+    spread = values.join(F.broadcast(base), "measure").groupBy("measure").agg(
+        F.sqrt(F.sum(n * (v - F.col("_mean")) * (v - F.col("_mean"))) / F.nullif(F.max("count") - 1, F.lit(0))).alias("_std"))
+    every = lens.sparkSession.createDataFrame([(m,) for m in measures], "measure string")
+    rows = (every.join(F.broadcast(base), "measure", "left").join(F.broadcast(spread), "measure", "left")
+            .join(F.broadcast(exact_percentiles(values, ["measure"], DESCRIBE_PROBS, "_p")), "measure", "left"))
+    return rows.select("measure", F.coalesce("count", F.lit(0)).cast("long").alias("count"),
+                       F.round("_mean", 1).alias("mean"), F.round("_std", 1).alias("std"),
+                       F.round(F.col("_min").cast("double"), 1).alias("min"),
+                       *[F.round(F.col("_p")[i], 1).alias(c) for i, c in enumerate(DESCRIBE_NAMES)],
+                       F.round(F.col("_max").cast("double"), 1).alias("max"))
 
 
 def length_histogram(lens: DataFrame, col: str = "n_tokens", bins: int = 60) -> DataFrame:
@@ -82,16 +90,19 @@ def length_histogram(lens: DataFrame, col: str = "n_tokens", bins: int = 60) ->
 
 
 def length_box_by_class(lens: DataFrame, col: str = "n_tokens", label: str = "label") -> DataFrame:
-    """H7: quartiles, 1.5 IQR whiskers (most extreme data inside the fences) and outlier count per class."""
-    q = lens.groupBy(label).agg(F.percentile(col, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
+    """H7: quartiles, 1.5 IQR whiskers (most extreme data inside the fences) and outlier count per class.
+
+    Taken from the written counts of distinct lengths per class (see ``length_describe``)."""
+    values = materialize(value_counts(lens, [label], col), "lengths")
+    q = exact_percentiles(values, [label], [0.25, 0.5, 0.75], "_q")
     q = q.select(label, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo, hi = F.col("q1") - 1.5 * F.col("iqr"), F.col("q3") + 1.5 * F.col("iqr")
-    v = F.col(col)
-    return (lens.join(F.broadcast(q), label).groupBy(label, "q1", "median", "q3", "iqr").agg(
+    v = F.col("value")
+    return (values.join(F.broadcast(q), label).groupBy(label, "q1", "median", "q3", "iqr").agg(
         F.min(F.when(v >= lo, v)).cast("double").alias("whisker_lo"),
         F.max(F.when(v <= hi, v)).cast("double").alias("whisker_hi"),
-        F.count_if((v < lo) | (v > hi)).cast("long").alias("n_outliers"))
+        F.sum(F.when((v < lo) | (v > hi), F.col("n")).otherwise(0)).cast("long").alias("n_outliers"))
         .select(label, *[F.round(c, 4).alias(c) for c in ("q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi")],
                 "n_outliers"))
 

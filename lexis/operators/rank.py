@@ -37,6 +37,8 @@ def quantile_bucket(df: DataFrame, col: str, out: str, n_buckets: int = 1024,
     probs = [i / n_buckets for i in range(1, n_buckets)]
     qs = df.approxQuantile(col, probs, rel_err) if n_buckets > 1 else []
     splits = [float("-inf")] + sorted({q for q in qs if q == q}) + [float("inf")]
+    if len(splits) < 3:  # no rows, or one bucket asked for
+        return df.withColumn(out, F.lit(0))
     return Bucketizer(splits=splits, inputCol=col, outputCol=out,
                       handleInvalid="keep").transform(df).withColumn(out, F.col(out).cast("int"))
 
@@ -101,3 +103,36 @@ def bucketed_running_max(df: DataFrame, part: list[str], order: list[Column], bu
     offs = totals.withColumn("_prev", F.max("_bmax").over(wb)).drop("_bmax")
     return (local.join(F.broadcast(offs), [*part, bucket])
             .withColumn(out, F.greatest(F.col("_lmax"), F.col("_prev"))).drop("_lmax", "_prev"))
+
+
+def value_counts(df: DataFrame, part: list[str], col: str) -> DataFrame:
+    """``part, value, n``: the distinct non-null values of ``col`` with their
+    counts (combined per task first); rows with a null in ``part`` are left out."""
+    known = df.dropna(subset=[*part, col])
+    return known.groupBy(*part, F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def exact_percentiles(values: DataFrame, part: list[str], probs: list[float], out: str = "percentiles",
+                      n_buckets: int = 1024) -> DataFrame:
+    """``part, out`` with the interpolated percentiles of ``values(part, value, n)`` for
+    one or more ``part`` columns, equal to ``percentile`` of the counted rows for any data.
+
+    No value map is held in one task: the values are cut at approximate quantiles
+    (a mergeable sketch gives at most ``n_buckets`` cuts), running counts are made
+    per bucket, and the value at a rank is the smallest whose running count exceeds
+    it.  ``values`` is read several times: pass a written table."""
+    cut = quantile_bucket(values, "value", "_b", n_buckets)
+    run = bucketed_running_sum(cut, part, [F.asc("value")], "_b", ["n"]).drop("_b")
+    totals = values.groupBy(*part).agg(F.sum("n").alias("_total"))  # one row per group
+    run = run.join(F.broadcast(totals), part)
+    picks = []
+    for p in probs:
+        at = F.lit(float(p)) * (F.col("_total") - 1)
+        picks += [F.min(F.when(F.col("cum_n") > rank, F.col("value"))) for rank in (F.floor(at), F.ceil(at))]
+    got = run.groupBy(*part, "_total").agg(*[c.alias(f"_v{i}") for i, c in enumerate(picks)])
+    points = []
+    for i, p in enumerate(probs):
+        at = F.lit(float(p)) * (F.col("_total") - 1)
+        low, high = F.col(f"_v{2 * i}").cast("double"), F.col(f"_v{2 * i + 1}").cast("double")
+        points.append(F.when(low == high, low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high))
+    return got.select(*part, F.array(*points).alias(out))

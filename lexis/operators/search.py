@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexis.operators.rank import bucketed_running_max
+from lexis.operators.rank import bucketed_running_max, quantile_bucket
 
 HEX13 = float(16 ** 13)
 
@@ -99,9 +99,12 @@ def best_trial(trials: DataFrame) -> DataFrame:
                     F.col("_b.value").alias("best_value")))
 
 
-def running_best(trials: DataFrame, bucket_size: int = 1024) -> DataFrame:
-    """Best value so far after each trial, in trial order, per study."""
-    t = trials.withColumn("_b", F.floor(F.col("trial_id") / bucket_size))
+def running_best(trials: DataFrame, n_buckets: int = 256) -> DataFrame:
+    """Best value so far after each trial, in trial order, per study.
+
+    Trials are cut into at most ``n_buckets`` buckets at approximate quantiles of
+    their ids, so the broadcast offsets do not grow with the trials."""
+    t = quantile_bucket(trials, "trial_id", "_b", n_buckets)
     return bucketed_running_max(t, ["study"], [F.asc("trial_id")], "_b", "value", "running_best").drop("_b") \
         .select("study", "trial_id", "value", "running_best")
 

@@ -76,9 +76,15 @@ def stratified_split(df: DataFrame, id_col: str = "text_id", label: str = "label
 
 def stratified_kfold(df: DataFrame, id_col: str = "text_id", label: str = "label", n_splits: int = 5,
                      seed: int | str = 42, out: str = "fold") -> DataFrame:
-    """Adds ``fold`` in [0, n_splits): rows sorted by (class, hash) dealt round-robin,
-    so each class is spread evenly and fold sizes differ by at most one."""
-    counts = class_counts(df, label)
+    """Adds ``fold`` in [0, n_splits): ids sorted by (class, hash) dealt round-robin,
+    so each class is spread evenly and fold sizes differ by at most one.
+
+    Only ``(id, label)`` is counted, ranked and shuffled for that; wider rows then join
+    the fold table by id, which adaptive execution broadcasts where it is small and
+    which moves no wide row of a table that is bucketed by id.  Rows that repeat an id
+    share its fold; rows with a null id or label are left out."""
+    ids = df.select(id_col, label).distinct()
+    counts = class_counts(ids.dropna(), label)
     if any(c < n_splits for _, c in counts):
         raise ValueError(f"n_splits={n_splits} is greater than the members of a class")
     offsets, acc = {}, 0
@@ -86,8 +92,9 @@ def stratified_kfold(df: DataFrame, id_col: str = "text_id", label: str = "label
         offsets[k] = acc
         acc += c
     off = F.element_at(_literal_map(offsets, "int", "long"), F.col(label))
-    return (ranked(df, id_col, label, seed)
-            .withColumn(out, F.pmod(off + F.col("_rank") - 1, F.lit(n_splits)).cast("int")).drop("_rank"))
+    folds = ranked(ids, id_col, label, seed).select(
+        id_col, label, F.pmod(off + F.col("_rank") - 1, F.lit(n_splits)).cast("int").alias(out))
+    return df.join(folds, [id_col, label]).select(*df.columns, out)
 
 
 def inner_validation(train: DataFrame, id_col: str = "text_id", label: str = "label",

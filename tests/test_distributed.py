@@ -75,3 +75,75 @@ def test_split_quota_and_folds(spark):
     f = sp.stratified_kfold(df, n_splits=5)
     sizes = [r["count"] for r in f.groupBy("fold").count().collect()]
     assert max(sizes) - min(sizes) <= 1
+
+
+def test_exact_percentiles_equal_percentile(spark):
+    r = random.Random(5)
+    rows = [("a", r.randrange(10**9)) for _ in range(3001)] + [("b", r.choice([1, 1, 1, 2, 50])) for _ in range(400)]
+    rows += [("c", 7), ("d", None), (None, 3)]
+    df = spark.createDataFrame(rows, "g string, x long")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.77, 0.95, 1.0]
+    got = {x.g: x.p for x in rk.exact_percentiles(rk.value_counts(df, ["g"], "x"), ["g"], probs, "p", 16).collect()}
+    want = df.dropna().groupBy("g").agg(F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("p")).collect()
+    assert set(got) == {"a", "b", "c"}
+    for row in want:
+        assert all(abs(x - y) < 1e-6 for x, y in zip(got[row.g], row.p))
+    empty = rk.value_counts(df.limit(0), ["g"], "x")
+    assert rk.exact_percentiles(empty, ["g"], probs).count() == 0
+
+
+def test_length_tables_equal_direct_aggregates(spark):
+    from lexis.operators import profile as pr
+    r = random.Random(9)
+    rows = [(r.choice([0, 1, None]), r.randrange(1, 5000), r.choice([3, 4, 5, 900])) for _ in range(1500)]
+    lens = spark.createDataFrame(rows, "label int, n_chars int, n_tokens int")
+    got = {x.measure: x for x in pr.length_describe(lens).collect()}
+    for m in ("n_chars", "n_tokens"):
+        want = lens.agg(F.count(m).alias("count"), F.round(F.avg(m), 1).alias("mean"), F.round(F.stddev_samp(m), 1).alias("std"),
+                        F.round(F.percentile(m, 0.95), 1).alias("p95"), F.max(m).cast("double").alias("max")).first()
+        assert (got[m]["count"], got[m]["mean"], got[m]["std"], got[m]["p95"], got[m]["max"]) == tuple(want)
+    none = {x.measure: x for x in pr.length_describe(lens.limit(0)).collect()}
+    assert set(none) == {"n_chars", "n_tokens"} and none["n_chars"]["count"] == 0 and none["n_chars"]["p50"] is None
+    box = {x.label: x for x in pr.length_box_by_class(lens).collect()}
+    for label in (0, 1):
+        mine = sorted(n for y, _, n in rows if y == label)
+        q1, q3 = box[label].q1, box[label].q3
+        low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        assert box[label].n_outliers == sum(n < low or n > high for n in mine)
+        assert box[label].whisker_hi == max(n for n in mine if n <= high)
+    assert set(box) == {0, 1}
+
+
+def test_running_best_does_not_depend_on_buckets(spark):
+    from lexis.operators.search import running_best
+    r = random.Random(4)
+    rows = [(s, i * 10**6, round(r.random(), 3)) for s in ("x", "y") for i in range(300)] + [("z", 5, 0.0)]
+    df = spark.createDataFrame(rows, "study string, trial_id long, value double")
+    want, best = {}, {}
+    for s, t, v in sorted(rows):
+        best[s] = max(best.get(s, v), v)
+        want[s, t] = best[s]
+    for n in (1, 8, 256):
+        assert {(x.study, x.trial_id): x.running_best for x in running_best(df, n).collect()} == want
+    assert running_best(df.limit(0)).count() == 0
+
+
+def test_folds_of_wide_rows(spark, capsys):
+    rows = [(i % 400, i % 2, f"text {i}") for i in range(800)] + [(None, 1, "no id"), (7000, None, "no label")]
+    df = spark.createDataFrame(rows, "text_id long, label int, text string")
+    wide = sp.stratified_kfold(df, n_splits=5)
+    narrow = {(x.text_id, x.label): x.fold for x in sp.stratified_kfold(df.select("text_id", "label"), n_splits=5).collect()}
+    got = wide.collect()
+    assert wide.columns == ["text_id", "label", "text", "fold"] and len(got) == 800
+    assert all(narrow[x.text_id, x.label] == x.fold for x in got)  # rows that repeat an id share its fold
+    wide.explain()
+    plan = capsys.readouterr().out
+    assert "Window" in plan and not any("Window" in line and "text#" in line for line in plan.splitlines())
+
+
+def test_unknown_null_strategy_raises(spark):
+    import pytest
+
+    from lexis.operators import nulls
+    with pytest.raises(ValueError):
+        nulls.handle_missing(spark.createDataFrame([("a",)], "text string"), strategy="guess")
