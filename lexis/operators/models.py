@@ -14,6 +14,8 @@ without that bound is rejected when the fitted vocabulary exceeds
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
 from pyspark import keyword_only
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 
 from lexis.functions import text as tx
 from lexis.operators import clean as cl
+from lexis.operators import split as sp
 from lexis.operators import tfidf as tfm
 from lexis.operators.boosting import BoostedTrees, BoostParams
 from lexis.operators.tfidf import TfidfConfig
@@ -175,22 +178,52 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParam
 
 class MarginPlatt(Estimator):
     """Platt scaling: logistic regression of the label on the SVM margin.
-    The class label stays the sign of the margin."""
+    The class label stays the sign of the margin.
 
-    def __init__(self, rawCol="svm_raw", labelCol="label", weightCol=None):
+    Given the unfitted ``svm``, the margins are out of fold: the rows are dealt to
+    ``folds`` stratified folds by a hash of their features (equal rows share one), and each row's margin
+    comes from an SVM fitted without its fold, so the probabilities are not as sure
+    as training margins would make them.  A class with fewer rows than folds lowers
+    the number of folds; below two the fitted SVM's own margins are taken."""
+
+    def __init__(self, rawCol="svm_raw", labelCol="label", weightCol=None, svm=None, folds=5, seed=42):
         super().__init__()
         self.rawCol, self.labelCol, self.weightCol = rawCol, labelCol, weightCol
+        self.svm, self.folds, self.seed = svm, folds, seed
 
     @staticmethod
     def _margin(df: DataFrame, raw: str) -> DataFrame:
         return df.withColumn("_mvec", array_to_vector(F.array(vector_to_array(F.col(raw))[1])))
 
+    def out_of_fold(self, df: DataFrame) -> DataFrame:
+        """Rows with ``rawCol`` replaced by the margin of an SVM that has not seen them."""
+        features = self.svm.getFeaturesCol()
+        keep = [c for c in (features, self.labelCol, self.weightCol) if c]
+        rows = df.select(*keep, F.xxhash64(vector_to_array(F.col(features))).alias("_row"))
+        rows = materialize(rows.withColumn(self.labelCol, F.col(self.labelCol).cast("int")), "calibration")
+        counts = sp.class_counts(rows.select("_row", self.labelCol).distinct(), self.labelCol)
+        folds = min([self.folds, *[c for _, c in counts]])
+        if len(counts) < 2 or folds < 2:
+            return df
+        dealt = materialize(sp.stratified_kfold(rows, "_row", self.labelCol, folds, f"{self.seed}:platt", "_fold"), "calibration")
+        # the penalty is per row: fewer rows keep the same C
+        svm = self.svm.copy().setRegParam(self.svm.getRegParam() * folds / (folds - 1))
+
+        def held_out(k: int) -> DataFrame:
+            return svm.fit(dealt.where(F.col("_fold") != k)).transform(dealt.where(F.col("_fold") == k))
+
+        with ThreadPoolExecutor(folds) as pool:  # concurrent Spark jobs, one per fold
+            return reduce(DataFrame.unionByName, pool.map(held_out, range(folds)))
+
     def _fit(self, df: DataFrame) -> "MarginPlattModel":
         lr = LogisticRegression(featuresCol="_mvec", labelCol=self.labelCol, predictionCol="_platt_pred",
                                 rawPredictionCol="_platt_raw", probabilityCol="probability", regParam=0.0)
         if self.weightCol:
             lr.setWeightCol(self.weightCol)
-        return MarginPlattModel(lr.fit(self._margin(df, self.rawCol)), self.rawCol)
+        margins = self.out_of_fold(df) if self.svm is not None else df
+        keep = [c for c in (self.rawCol, self.labelCol, self.weightCol) if c]
+        margins = materialize(self._margin(margins.select(*keep), self.rawCol), "margins")
+        return MarginPlattModel(lr.fit(margins), self.rawCol)
 
 
 class MarginPlattModel(Model, MLWritable, MLReadable):
@@ -272,11 +305,12 @@ def build_classifier(name: str, params: dict | None, n_train: float, weighted: b
                           maxIter=int(p.get("max_iter", 200)), **w)]
     if name == "rff_svc":
         gamma = float(p.get("gamma", 1.0))
+        svm = LinearSVC(featuresCol="rff", labelCol="label", regParam=reg, standardization=False,
+                        rawPredictionCol="svm_raw", predictionCol="prediction", maxIter=int(p.get("max_iter", 200)), **w)
         return [RandomFourierFeatures(inputCol="features", outputCol="rff", gamma=gamma,
-                                      dim=int(p.get("n_components", 256)), seed=seed),
-                LinearSVC(featuresCol="rff", labelCol="label", regParam=reg, standardization=False,
-                          rawPredictionCol="svm_raw", predictionCol="prediction", maxIter=int(p.get("max_iter", 200)), **w),
-                MarginPlatt(rawCol="svm_raw", labelCol="label", weightCol="weight" if weighted else None)]
+                                      dim=int(p.get("n_components", 256)), seed=seed), svm,
+                MarginPlatt(rawCol="svm_raw", labelCol="label", weightCol="weight" if weighted else None,
+                            svm=svm.copy(), folds=int(p.get("calibration_folds", 5)), seed=seed)]
     raise ValueError(f"Unknown model: {name!r}; choose from {ESTIMATORS}")
 
 

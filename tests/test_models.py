@@ -88,3 +88,34 @@ def test_tree_queries_use_the_estimators_defaults():
     from lexis.operators.models import DEFAULT_GBT
     from lexis.plans.models import GBT_PARAMS
     assert all(GBT_PARAMS[k] == DEFAULT_GBT[k] for k in ("n_estimators", "max_depth", "learning_rate"))
+
+
+def test_cross_fitted_margins_calibrate_better(spark):
+    """Few rows in many random features separate the training rows, so their own margins are far too sure."""
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.linalg import Vectors
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(900, 40))
+    y = (rng.random(900) < 1 / (1 + np.exp(-x[:, 0]))).astype(int)
+    rows = spark.createDataFrame([(Vectors.dense(v), int(t)) for v, t in zip(x, y)], ["rff", "label"])
+    rows = rows.withColumn("n", F.monotonically_increasing_id())
+    ids = sorted(r.n for r in rows.select("n").collect())
+    rows = rows.withColumn("train", F.col("n").isin(ids[:100])).coalesce(1).cache()
+    svm = LinearSVC(featuresCol="rff", labelCol="label", regParam=1e-4, rawPredictionCol="svm_raw", maxIter=15)
+    train = svm.fit(rows.where("train"))
+    error = {}
+    for name, inner in (("in sample", None), ("cross-fitted", svm.copy())):
+        platt = md.MarginPlatt(svm=inner).fit(train.transform(rows.where("train")))
+        held = platt.transform(train.transform(rows.where("NOT train"))).select(vector_to_array("probability")[1].alias("p"), "label").collect()
+        p, t = np.array([r.p for r in held]), np.array([r.label for r in held])
+        error[name] = np.mean((p - t) ** 2)
+    assert error["cross-fitted"] < error["in sample"] - 0.01
+
+
+def test_calibration_of_a_tiny_class_takes_the_training_margins(spark):
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.linalg import Vectors
+    rows = spark.createDataFrame([(Vectors.dense([float(i)]), int(i == 9)) for i in range(10)], ["rff", "label"]).coalesce(1)
+    svm = LinearSVC(featuresCol="rff", labelCol="label", regParam=0.01, rawPredictionCol="svm_raw", maxIter=3)
+    scored = svm.fit(rows).transform(rows)
+    assert md.MarginPlatt(svm=svm.copy()).out_of_fold(scored) is scored
