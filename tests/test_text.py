@@ -103,3 +103,25 @@ def test_cleaning_of_odd_blanks_entities_and_double_mojibake(spark):
              "isnÃ¢â‚¬â„¢t": "isn't", "a &amp;lt; b": "a lt b", "x <b> &amp;": "x b amp"}
     rows = spark.createDataFrame([(k,) for k in cases], "t string").select("t", tx.clean_text("t").alias("c")).collect()
     assert {r.t: r.c for r in rows} == cases
+
+
+def test_special_classes_equal_the_negated_pattern(spark):
+    points = [*range(0xD800), *range(0xE000, 0x10000), *range(0x1F600, 0x1F650), 0x10FFFF]
+    df = spark.createDataFrame([("".join(f"a{chr(p)}" for p in points[k:k + 500]),) for k in range(0, len(points), 500)], "s string")
+    negated = F.regexp_replace("s", tx.SPECIAL_PATTERN, " ")
+    assert df.where(tx.remove_special_characters("s") != negated).count() == 0
+    fused = F.trim(F.regexp_replace("s", tx.SPECIAL_OR_SPACE_RUN, " "))
+    assert df.where(fused != tx.normalize_spaces(negated)).count() == 0
+
+
+def test_repair_levels_do_not_multiply(spark):
+    plan = spark.createDataFrame([("x",)], "s string").select(tx.fix_encoding("s"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count(tx.MOJIBAKE_SEQUENCE) <= 20  # each level naming its input three times made it 92
+
+
+def test_first_characters_of_the_repair_trigger(spark):
+    heads = [chr(p) for p in range(0x80, 0x10000) if not 0xD800 <= p < 0xE000] + ["&"]
+    tails = ["", "\x80", "\x92", "\x86", "\x9c", "€", "\x9f\x98\x80", "¬\x80", "»\x80"]
+    df = spark.createDataFrame([(h + t,) for h in heads for t in tails if not h.isspace()], "s string")
+    assert df.where(F.col("s").rlike(tx.REPAIR_TRIGGER) & ~F.col("s").rlike(tx.REPAIR_FIRST)).count() == 0
+    assert df.where(F.col("s").rlike(tx.REPAIR_TRIGGER)).count() > 100
