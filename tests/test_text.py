@@ -125,3 +125,17 @@ def test_first_characters_of_the_repair_trigger(spark):
     df = spark.createDataFrame([(h + t,) for h in heads for t in tails if not h.isspace()], "s string")
     assert df.where(F.col("s").rlike(tx.REPAIR_TRIGGER) & ~F.col("s").rlike(tx.REPAIR_FIRST)).count() == 0
     assert df.where(F.col("s").rlike(tx.REPAIR_TRIGGER)).count() > 100
+
+
+def test_variants_side_by_side_share_one_base_clean(spark):
+    df = spark.createDataFrame([("The news &amp; it's NOT running",), ("",), (None,), ("of the",)], "t string")
+    wide = cl.with_variants(df, "t", list(cl.VARIANTS))
+    got = wide.collect()
+    for name in cl.VARIANTS:
+        want = [r[0] for r in cl.clean_frame(df, "t", name).collect()]
+        assert [r[f"clean_{name}"] for r in got] == want
+    with pytest.raises(ValueError):
+        cl.with_variants(df, "t", ["lemmas"])
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(tx.CONTROL_CHARS_PATTERN) == cl.clean_frame(df, "t")._jdf.queryExecution().optimizedPlan().toString().count(
+        tx.CONTROL_CHARS_PATTERN)
