@@ -139,3 +139,31 @@ def test_variants_side_by_side_share_one_base_clean(spark):
     plan = wide._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(tx.CONTROL_CHARS_PATTERN) == cl.clean_frame(df, "t")._jdf.queryExecution().optimizedPlan().toString().count(
         tx.CONTROL_CHARS_PATTERN)
+
+
+def test_gated_cleaning_equals_the_plain_chain(spark):
+    """Every step on every text, mojibake level by level over whole texts."""
+    def plain(c):
+        c = F.regexp_replace(c, tx.CONTROL_CHARS_PATTERN, "")
+        rep = c
+        for _ in range(tx.GARBLING_LEVELS):
+            rep = tx.decode_mojibake(rep)
+        rep = tx._replace_all(F.when(F.instr(c, "<") > 0, rep).otherwise(tx.unescape_html(rep)), tx.LIGATURES)
+        return F.translate(F.when(c.rlike(tx.REPAIR_TRIGGER), rep).otherwise(c), tx.SINGLE_FROM, tx.SINGLE_TO)
+
+    def plain_clean(c):
+        c = F.lower(plain(F.coalesce(c, F.lit(""))))
+        c = tx.remove_emojis(tx.normalize_hashtags(tx.remove_mentions(tx.remove_urls(c))))
+        return tx.normalize_spaces(tx.remove_special_characters(c))
+
+    garbled = "it’s “naïve” 🔥 Ünï привет".encode().decode("latin-1")
+    twice = garbled.encode().decode("latin-1")
+    texts = [chr(p) for p in [*range(0x3100), *range(0xE000, 0x10000), 0x1F525, 0x10FFFF]]
+    texts += [garbled, twice, f"日本{twice}日本 é{garbled}", f"&amp; {garbled} <b>", f"{garbled}\ue000", "\x01 &#8217; ﬁ", "WWW.a.de x", "a/u/b @c #  d",
+              "é Ã©", ":p=) ;-D", None, "", "plain words only"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string").withColumn("t", F.concat(F.lit("a"), F.col("s"), F.lit("b ")))
+    for t in ("s", "t"):
+        c = F.col(t)
+        assert [r.s for r in df.where(~tx.fix_encoding(c).eqNullSafe(plain(c))).collect()] == []
+        assert [r.s for r in df.where(~tx.clean_text(c).eqNullSafe(plain_clean(c))).collect()] == []
+    assert df.where(~plain(F.col("s")).eqNullSafe(F.col("s")) & ~(F.col("s").rlike(tx.NOT_PLAIN) & F.col("s").rlike(tx.REPAIR_OR_MAP))).count() == 0
