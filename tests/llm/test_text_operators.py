@@ -223,3 +223,22 @@ def test_rare_languages_are_sampled_like_frequent_ones(spark):
     assert model.langs == ["1", "name", "odd`lang"] and len(model.names[0]) <= 12
     asked = spark.createDataFrame([(1, "вода зима"), (2, "beta gamma"), (3, "dos tres")], "doc_id long, text string")
     assert {r.doc_id: r.lang_pred for r in language_id.identify(asked, model).collect()} == {1: "odd`lang", 2: "name", 3: "1"}
+
+
+def test_quality_counts_every_trusted_document(spark, monkeypatch):
+    """Four fifths train and the others give thresholds, however many there are; more shards give the same model."""
+    docs = [(i, f"the {i % 97} plain words of text {i % 89} in a row of {i % 53}", "en") for i in range(6000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(4)
+    trusted = df.select("doc_id")
+    chosen = quality.sample_ids(df, trusted)
+    assert 4650 <= chosen.count() <= 4950
+    folder, counts, bits = quality.fit(df, chosen)
+    few = {r.doc_id: r.perplexity for r in quality.perplexities(df, (folder, counts, bits), {}).collect()}
+    monkeypatch.setattr(quality, "BYTES_PER_SHARD", 2_000)
+    models = quality.fit(df, chosen)
+    assert bits == quality.SHARD_BITS and models[2] > bits and models[1]["en"].tolist() == counts["en"].tolist()
+    many = {r.doc_id: r.perplexity for r in quality.perplexities(df, models, {}).collect()}
+    assert many.keys() == few.keys() and all(abs(many[k] - few[k]) <= 1e-12 * few[k] for k in few)
+    labels = trusted.selectExpr("doc_id", "1 as quality", "0 as toxic")
+    whole = {r.doc_id: r.perplexity for r in quality.classify(df, labels).collect()}
+    assert all(abs(whole[k] - few[k]) <= 1e-12 * few[k] for k in few)
