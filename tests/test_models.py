@@ -2,7 +2,9 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from lexis.operators import models as md
@@ -119,3 +121,18 @@ def test_calibration_of_a_tiny_class_takes_the_training_margins(spark):
     svm = LinearSVC(featuresCol="rff", labelCol="label", regParam=0.01, rawPredictionCol="svm_raw", maxIter=3)
     scored = svm.fit(rows).transform(rows)
     assert md.MarginPlatt(svm=svm.copy()).out_of_fold(scored) is scored
+
+
+def test_linear_fits_take_tasks_by_their_entries(spark, monkeypatch):
+    """Few entries in many partitions are fitted in few tasks, to the same model."""
+    rows = [(i % 2, Vectors.sparse(4, [i % 4, (i + 1 + i % 2) % 4], [1.0, 0.5 + i % 3]) if i % 4 < (i + 1 + i % 2) % 4 else Vectors.sparse(4, [0], [1.0 + i % 5]))
+            for i in range(200)]
+    df = spark.createDataFrame(rows, ["label", "features"]).repartition(16)
+    parts = []
+    fit = LogisticRegression._fit
+    monkeypatch.setattr(LogisticRegression, "_fit", lambda self, data: parts.append(data.rdd.getNumPartitions()) or fit(self, data))
+    one = md.fit_on_vectors(df, "logreg", {"C": 1.0}).stages[-1]
+    monkeypatch.setattr(md, "ENTRIES_PER_PART", 1)
+    many = md.fit_on_vectors(df, "logreg", {"C": 1.0}).stages[-1]
+    assert parts == [1, 16]
+    assert abs(one.coefficients.toArray() - many.coefficients.toArray()).max() < 1e-6
