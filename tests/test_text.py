@@ -167,3 +167,24 @@ def test_gated_cleaning_equals_the_plain_chain(spark):
         assert [r.s for r in df.where(~tx.fix_encoding(c).eqNullSafe(plain(c))).collect()] == []
         assert [r.s for r in df.where(~tx.clean_text(c).eqNullSafe(plain_clean(c))).collect()] == []
     assert df.where(~plain(F.col("s")).eqNullSafe(F.col("s")) & ~(F.col("s").rlike(tx.NOT_PLAIN) & F.col("s").rlike(tx.REPAIR_OR_MAP))).count() == 0
+
+
+def test_cleaning_is_one_pass_without_regex_scans(spark):
+    df = spark.createDataFrame([("a",)], "t string")
+    for name in cl.VARIANTS:
+        plan = cl.clean_frame(df, "t", name)._jdf.queryExecution().executedPlan().toString()
+        assert "regexp" not in plan and plan.count("ArrowEvalPython") == 1
+    wide = cl.with_variants(df, "t", list(cl.VARIANTS))._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in wide and wide.count("_cleaned(") == 1
+
+
+def test_cleaning_of_texts_that_are_not_sound_utf8(spark):
+    df = spark.createDataFrame([(bytearray(b"Abc\xff \xc3 def"),)], "b binary").selectExpr("cast(b as string) as t")
+    assert [r[0] for r in df.select(tx.clean_text("t")).collect()] == ["abc def"]
+
+
+def test_word_tokens_of_plain_and_other_texts_follow_one_pattern(spark):
+    texts = ["", "a", "it's a_b 1 22 a-bc  x", "Zoë and ÉCOLE ab", "日本ab cd", None, "ab\tcd\ne", "_ __ a1"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.regexp_extract_all(F.lower(F.coalesce("t", F.lit(""))), F.lit(tx.WORD_TOKEN_PATTERN), 0)
+    assert df.where(~tx.word_tokens("t").eqNullSafe(plain)).count() == 0
