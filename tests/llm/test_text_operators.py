@@ -242,3 +242,43 @@ def test_quality_counts_every_trusted_document(spark, monkeypatch):
     labels = trusted.selectExpr("doc_id", "1 as quality", "0 as toxic")
     whole = {r.doc_id: r.perplexity for r in quality.classify(df, labels).collect()}
     assert all(abs(whole[k] - few[k]) <= 1e-12 * few[k] for k in few)
+
+
+def test_quality_shuffles_ids_and_counts_but_no_text(spark, monkeypatch):
+    """Labelled rows are found without a join of texts; merging a task's counts and wide values change nothing."""
+    text = "some plain words of text %d in a row with %d and a few more of them"
+    docs = [(i, text % (i % 97, i % 53), "en" if i % 3 else None) for i in range(2000)] + [(2000, None, "en"), (None, "no id", "en"), (7, "again 7", "en")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    labels = df.filter("doc_id % 2 = 0").selectExpr("doc_id", "1 as quality", "cast(doc_id % 40 = 0 as int) as toxic")
+    labels = labels.union(labels.limit(5)).union(spark.createDataFrame([(None, 1, 0)], labels.schema))
+    marks = quality.marked(labels)
+    told = quality.told(df, marks)
+    assert "Exchange" not in told._jdf.queryExecution().executedPlan().toString().replace("Exchange RoundRobin", "").replace("REPARTITION", "")
+    want = {r.doc_id: quality.TRUSTED for r in quality.trusted_ids(labels).collect()} | {r.doc_id: quality.TOXIC for r in quality.toxic_ids(labels).collect()}
+    assert all(r["__mark"] == want.get(r.doc_id, 0) for r in told.collect())
+    monkeypatch.setattr(quality, "IDS_PER_SHARD", 100)
+    sharded = quality.marked(labels)
+    assert sharded[1] > 0 and all(r["__mark"] == want.get(r.doc_id, 0) for r in quality.told(df, sharded).collect())
+
+
+def test_quality_merges_the_counts_of_a_task():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    slices = [("a" if k % 3 else None, *np.unique(rng.integers(0, 300, 200).astype(np.uint64), return_counts=True)) for k in range(40)]
+    whole, merged = {}, {}
+    for lang, keys, counts in slices:
+        for k, n in zip(keys.tolist(), counts.tolist()):
+            whole[lang, k] = whole.get((lang, k), 0) + n
+    sent = list(quality._combined(iter(slices)))
+    for lang, keys, counts in sent:
+        for k, n in zip(keys.tolist(), counts.tolist()):
+            merged[lang, k] = merged.get((lang, k), 0) + n
+    assert merged == whole and sum(len(x[1]) for x in sent) == len(whole)
+
+
+def test_quality_tables_hold_counts_of_any_size(tmp_path):
+    import numpy as np
+    for top in (1, 300, 70_000, 1 << 40):
+        keys, values = np.array([3, 5, 9], np.uint64), np.array([[0, 1], [top, 2], [7, top]], np.int64)
+        quality._save(str(tmp_path), f"t{top}", 0, keys, values)
+        assert quality.Table(str(tmp_path), f"t{top}", 2, 0).join(np.array([4, 5, 9], np.uint64)).tolist() == [[0, 0], [top, 2], [7, top]]
