@@ -3,6 +3,7 @@
 import json
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -112,6 +113,34 @@ def test_no_tree_beyond_the_patience(spark):
     assert abs(auc - max(model.aucs)) < 1e-12
 
 
+class Alone:
+    """A team of one task without Spark."""
+    size, rank = 1, 0
+
+    def exchange(self, parts):
+        return parts
+
+    def gather(self, part):
+        return [part]
+
+
+def test_only_the_lighter_child_of_a_split_is_summed(tmp_path, monkeypatch):
+    x, y = rows_of(2000, 30, seed=5)
+    at = [np.flatnonzero(a) for a in x]
+    batch = pa.record_batch([pa.array(np.arange(len(y)), pa.uint64()), pa.array(y), pa.array(np.ones(len(y))), pa.array([False] * len(y)),
+                             pa.array(at, pa.list_(pa.int32())), pa.array([a[k] for a, k in zip(x, at)], pa.list_(pa.float64()))],
+                            names=["row", "label", "weight", "held", "indices", "values"])
+    cuts = [np.unique(c[c != 0]) for c in x.T]
+    offsets, summed, sums = np.append(0, np.cumsum([len(c) for c in cuts])), [], bo._sorted_sums
+    monkeypatch.setattr(bo, "_sorted_sums", lambda key, *columns: summed.append(len(key)) or sums(key, *columns))
+    p = BoostParams(n_estimators=4, max_depth=5, max_bin=256)
+    rows = bo._Rows(iter([batch]), offsets, np.concatenate(cuts))
+    found = bo._boost(Alone(), rows, offsets, np.concatenate(cuts), p, bo._Store(str(tmp_path)))
+    margin = sum(t.leaves(np.where(x == 0, np.nan, x), {k: k for k in range(30)}) for t in found["trees"])
+    assert ((margin > 0) == y).mean() > 0.85
+    assert 0 < sum(summed) <= p.n_estimators * (p.max_depth - 1) * len(rows.entry_row) / 2
+
+
 def test_restart_goes_on_from_saved_trees(spark, monkeypatch):
     x, y = rows_of(150)
     df, p = frame(spark, x, y), BoostParams(n_estimators=6, max_depth=3)
