@@ -176,3 +176,35 @@ def test_edges(spark):
     for bad in ({"reg_alpha": -1}, {"subsample": 0}, {"max_depth": 31}, {"colsample_bytree": 1.5}):
         with pytest.raises(ValueError):
             BoostParams(**bad)
+
+
+def test_entries_are_binned_a_slice_at_a_time(monkeypatch):
+    rng, n, nf = np.random.default_rng(4), 90, 11
+    cuts = [np.sort(rng.random(k)) for k in rng.integers(0, 7, nf)]
+    offsets, flat = np.append(0, np.cumsum([len(c) for c in cuts])), np.concatenate(cuts)
+    index = [np.sort(rng.choice(nf + 2, rng.integers(0, 9), replace=False)).astype(np.int32) for _ in range(n)]
+    value = [np.where(rng.random(len(i)) < 0.1, 0.0, rng.random(len(i)) * 1.2) for i in index]
+    batch = pa.record_batch([pa.array(np.arange(n)), pa.array(np.ones(n)), pa.array(np.ones(n)), pa.array(np.zeros(n, bool)),
+                             pa.array(index, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float64()))],
+                            names=["row", "label", "weight", "held", "indices", "values"])
+    monkeypatch.setattr(bo, "SLICE_ENTRIES", 23)
+    seen, bin_of = [], bo._bin_of
+    monkeypatch.setattr(bo, "_bin_of", lambda f, *rest: seen.append(len(f)) or bin_of(f, *rest))
+    rows = bo._Rows(iter([batch.slice(0, 37), batch.slice(37)]), offsets, flat)
+    want = sorted((int(offsets[f] + min(np.searchsorted(cuts[f], x), len(cuts[f]) - 1)), r) for r in range(n)
+                  for f, x in zip(index[r], value[r]) if x and f < nf and len(cuts[f]))
+    assert list(zip(rows.entry_bin.tolist(), rows.entry_row.tolist())) == want and len(seen) > 10 and max(seen) <= 23
+    assert rows.entry_bin.itemsize == rows.entry_row.itemsize == 4
+    assert rows.edges.tolist() == [sum(b < o for b, _ in want) for o in offsets]
+    listed = bo._Listed(type("Team", (), {"size": 1, "exchange": lambda s, p: p, "gather": lambda s, p: [p]})(),
+                        (rows.entry_row, rows.entry_bin), np.repeat(np.arange(nf), np.diff(offsets)), np.ones(nf, bool), offsets)
+    assert listed.row is rows.entry_row  # no second copy where every feature is listed
+    team, node, g = type("Team", (), {"size": 1})(), rng.integers(0, 4, n), rng.integers(0, 9, n).astype(float)
+    passed = np.zeros(len(flat), bool)
+    passed[2] = True
+    key, total = listed.nodes(team, node, 3, passed, g)
+    sums = {}
+    for b, r in want:
+        if node[r] < 3 and b != 2:
+            sums[int(node[r]) << bo.BIN | b] = sums.get(int(node[r]) << bo.BIN | b, 0) + g[r]
+    assert dict(zip(key.tolist(), total.tolist())) == sums and (np.diff(key) > 0).all()
